@@ -28,7 +28,7 @@ from .storage import Workspace
 MARGINS = ("source", "lang", "topic")
 #: Exponents on a value's share of the tokens that give its target share: 1 leaves it, 0 makes all values equal.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.5}
-KEEP, MAX_CELLS, ROUNDS, TOLERANCE = 0.5, 200_000, 200, 1e-9
+KEEP, MAX_CELLS, ROUNDS, TOLERANCE = 0.7, 200_000, 200, 1e-9
 TOPIC_BITS, LONG_WORD = 3, 6
 
 
