@@ -144,7 +144,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.pieces, self.cache = Tokenizer.from_str(spec), pieces, WordCache()
+        self.tokenizer, self.pieces, self.cache = Tokenizer.from_str(spec), pieces, WordCache(1_500_000)
         self._forget()
 
     def _forget(self) -> None:
@@ -191,14 +191,19 @@ class Encoder:
 _encoders: dict[tuple[int, bool], Encoder] = {}
 
 
+def _encoder(spec: str, pieces: bool) -> Encoder:
+    """This worker's encoder; tasks find it by this function's module, so its cache outlives them."""
+    key = (hash(spec), pieces)
+    if key not in _encoders:
+        _encoders[key] = Encoder(spec, pieces)
+    return _encoders[key]
+
+
 def _block_writer(shared, end_id: int, width: int, pieces: bool, block_ids: int):
     def write(batches):
         from pyspark import TaskContext
 
-        key = (hash(shared.value), pieces)
-        if key not in _encoders:
-            _encoders[key] = Encoder(shared.value, pieces)
-        encoder = _encoders[key]
+        encoder = _encoder(shared.value, pieces)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         docs: list[int | None] = []
         held: list[np.ndarray] = []
