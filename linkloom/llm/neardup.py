@@ -7,8 +7,8 @@ and every link is confirmed on the full shingle sets.
 What keeps it whole and even at any size:
 
 * Documents with the same shingle set are collapsed into one representative before anything is compared.
-* In each bucket all members are compared with the most central one, the one that shares most buckets with others; all
-  pairs of a bucket are compared only if it is small.
+* In each bucket all members are compared with the most central one, the one that shares most buckets with others, but
+  only while they aren't in one component; all pairs of a bucket are compared only if it is small.
 * What larger buckets leave unlinked is compared exactly afterwards: the members outside the largest component of such a
   family of buckets, as a query set, against all its members, block by block (`_rest`).
 * Components are found by joins; no link reaches the driver.
@@ -206,30 +206,40 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     bucket = space.save(band.join(shared, "key"), "buckets")
     central = bucket.groupBy("id").agg(F.sum("c").alias("central"))
-    hub = bucket.join(central, "id").groupBy("key").agg(F.max_by(F.struct("id", "n"), F.struct("central", -F.col("id"))).alias("hub"))
-    pair = bucket.join(hub, "key").select(F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb"))
-    pairs = space.save(pair.where((F.col("a") != F.col("b")) & _sizes_fit(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    hub = bucket.join(central, "id").groupBy("key").agg(F.max_by(F.struct("id", "n", "central"), F.struct("central", -F.col("id"))).alias("hub"))
+    met = bucket.join(hub, "key").select(F.col("hub.id").alias("hub"), "id", F.col("hub.n").alias("na"), F.col("n").alias("nb"), "hub.central")
+    met = space.save(met.where((F.col("hub") != F.col("id")) & _sizes_fit(percent)).groupBy("hub", "id").agg(F.max("central").alias("central")), "met")
     sets = candidate_sets(docs, bucket.select("id").distinct(), size, space, "sets")
     same_id = known.groupBy("doc_id").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo <> hi").select(F.col("doc_id").alias("id"))
-    links = space.save(_confirmed(pairs, sets, percent), "links1")
+
+    # first the most central document that each one met, then the others of which it isn't yet a part
+    once = met.groupBy("id").agg(F.max_by("hub", F.struct("central", -F.col("hub"))).alias("hub"))
+    once = space.save(once.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "pairs1")
+    links = space.save(_confirmed(once, sets, percent), "links1")
+    part = connected_components(links, space, "cc1")
+    others = met.join(part.select(F.col("id"), F.col("comp").alias("ci")), "id", "left").join(part.select(F.col("id").alias("hub"), F.col("comp").alias("ch")), "hub", "left")
+    others = others.where(F.coalesce("ci", "id") != F.coalesce("ch", "hub")).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    others = space.save(others.join(once, ["a", "b"], "left_anti"), "pairs2")
+    links = links.union(space.save(_confirmed(others, sets, percent), "links2"))
+    pairs = once.union(others)
 
     def labelled(step: str):
         found = connected_components(links, space, step)
         return bucket.join(found, "id", "left").select("key", "id", "n", "c", F.coalesce("comp", "id").alias("comp"))
 
     # the small buckets that hold more than one component, in all pairs that the first round left
-    now = space.save(labelled("cc1"), "labels1")
+    now = space.save(labelled("cc2"), "labels1")
     open_keys = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     left = space.save(now.join(open_keys, "key"), "open")
     few = left.where(F.col("c") <= small)
     few = few.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", "n", "comp"))).alias("m"))
     two = few.select(F.explode(F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x.id AS a, y.id AS b, x.n AS na, y.n AS nb, x.comp AS ca, y.comp AS cb))))")).alias("p")).select("p.*")
     two = two.where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b")) & _sizes_fit(percent)).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    links = links.union(space.save(_confirmed(two, sets, percent), "links2"))
+    links = links.union(space.save(_confirmed(two, sets, percent), "links3"))
 
     unsolved = left.where(F.col("c") > small)
     if unsolved.limit(1).count():
-        now = space.save(labelled("cc2").where(F.col("c") > small), "labels2")
+        now = space.save(labelled("cc3").where(F.col("c") > small), "labels2")
         open_keys = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
         unsolved = space.save(now.join(open_keys, "key").select("key", "id", "comp"), "unsolved")
         if unsolved.limit(1).count():
