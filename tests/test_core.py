@@ -4,6 +4,7 @@ import json
 import random
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,5 +138,5 @@ def test_oracle(spark, name):
     want = con.sql(core.SQL[name]).df()
     got = core.QUERY[name](spark, SF).toPandas()
     assert sorted(want.columns) == sorted(got.columns)
-    rows = lambda d: sorted(tuple(str(v) if v == v and v is not None else "" for v in r) for r in d[sorted(d.columns)].astype(object).itertuples(index=False))
+    rows = lambda d: sorted(tuple("" if pd.isna(v) else str(v) for v in r) for r in d[sorted(d.columns)].astype(object).itertuples(index=False))
     assert rows(got) == rows(want)
