@@ -30,7 +30,7 @@ TOP, K = 20, 40
 #: Trees and block size of the first graph; neighbours of each kind that meet at a node; rounds at most.
 TREES, BLOCK, MEET, ROUNDS = 16, 1000, 24, 8
 #: Nodes that a query keeps, that it expands in a round, and rounds of the search at most.
-BEAM, EXPAND, SEARCH_ROUNDS = 128, 24, 4
+BEAM, EXPAND, SEARCH_ROUNDS = 128, 24, 5
 _LIST = "array<struct<sim:int,id:bigint>>"
 
 
@@ -52,7 +52,7 @@ def _best(lists: Column, k: int) -> Column:
 
 
 def _codes(nodes: DataFrame) -> DataFrame:
-    """(id, code): the extended vectors as 8-bit integers."""
+    """(id, code, q_code): the extended vectors as 8-bit integers, and as queries, whose added component is 0."""
     norms = nodes.agg(F.max(F.sqrt(_dot("v", "v"))).alias("top"), F.min(F.sqrt(_dot("v", "v"))).alias("low"), F.max(F.array_max(F.transform("v", F.abs))).alias("peak")).first()
     top = float(norms["top"] or 1.0)
     even = float(norms["low"] or 1.0) > top * (1 - 1e-6)
@@ -66,9 +66,12 @@ def _codes(nodes: DataFrame) -> DataFrame:
             if not even:
                 x = np.column_stack((x, np.sqrt(np.maximum(1 - (x**2).sum(axis=1), 0))))
             q = np.rint(x * (127 / peak)).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in q], pa.binary())], names=["id", "code"])
+            asks = q.copy()
+            if not even:
+                asks[:, -1] = 0
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r.tobytes() for r in m], pa.binary()) for m in (q, asks))], names=["id", "code", "q_code"])
 
-    return nodes.select("id", "v").mapInArrow(code, "id bigint, code binary")
+    return nodes.select("id", "v").mapInArrow(code, "id bigint, code binary, q_code binary")
 
 
 def _matrix(codes) -> np.ndarray:
@@ -194,9 +197,11 @@ def neighbour_graph(codes: DataFrame, n: int, space: Workspace, k: int = K, roun
 def search(queries: DataFrame, codes: DataFrame, graph: DataFrame, space: Workspace, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS) -> DataFrame:
     """queries (q, a node) -> (q, near): the nodes found nearest to each, itself among them, best first."""
     links = graph.select(F.col("id").alias("node"), F.transform("nbrs", lambda x: x["id"]).alias("next"))
-    own = codes.select(F.col("id").alias("q"), F.col("code").alias("q_code"))
-    state = queries.join(graph.select(F.col("id").alias("q"), "nbrs"), "q", "left")
-    state = space.save(state.select("q", F.slice(F.coalesce("nbrs", F.array().cast(_LIST)), 1, beam).alias("near"), F.array(F.col("q")).alias("done")), "search0")
+    own = codes.select(F.col("id").alias("q"), "q_code")
+    codes = codes.select("id", "code")
+    # a query's own node comes first, so that it is expanded first
+    begin = F.array(F.struct(F.lit((1 << 31) - 1).alias("sim"), F.col("q").alias("id")))
+    state = space.save(queries.select("q", begin.alias("near"), F.array().cast("array<bigint>").alias("done")), "search0")
 
     def product(batches):
         for batch in batches:
@@ -234,7 +239,7 @@ def nearest(embeddings: DataFrame, is_query: Column, top: int = TOP) -> DataFram
     if nodes.select("id").distinct().count() < n:
         nodes = space.save(nodes.withColumn("id", F.xxhash64("v", "id")), "nodes_apart")
     codes = space.save(_codes(nodes), "codes")
-    graph = neighbour_graph(codes, n, space)
+    graph = neighbour_graph(codes.select("id", "code"), n, space)
     asked = rows.where(is_query).join(nodes.select("v", "id"), "v").select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"), F.col("id").alias("q"))
     asked = space.save(asked, "queries")
     found = search(asked.select("q").distinct(), codes, graph, space)
