@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .kernels import slices, string_parts
 from .sampling import bounded, fold
+from .storage import small_batches
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -167,6 +168,7 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, per_lang: int = PER_
 
 def detect(docs: DataFrame, model: Model | None) -> DataFrame:
     """For each row of docs: ``row`` (the row), ``lang_pred``, ``score`` and ``rejected``."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

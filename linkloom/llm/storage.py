@@ -35,6 +35,18 @@ def _delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Bytes of rows that pass to a Python worker at a time; what a worker and the JVM hold for it follows this.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_BYTES, as whole texts make them large."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = "".join(c for c in str(spark.conf.get(key)) if c.isdigit())
+    if not now or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 class Workspace:
     """Tables of one run of one operator; what the result still reads stays until the application ends."""
 
@@ -42,6 +54,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = spark
+        small_batches(spark)
         root = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
         self.path = f"{root}/{tag}-{uuid.uuid4().hex[:12]}"
         if root not in Workspace._roots:

@@ -144,7 +144,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.pieces, self.cache = Tokenizer.from_str(spec), pieces, WordCache(1_500_000)
+        self.tokenizer, self.pieces, self.cache = Tokenizer.from_str(spec), pieces, WordCache(400_000)
         self._forget()
 
     def _forget(self) -> None:
