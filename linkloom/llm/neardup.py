@@ -87,20 +87,35 @@ def signatures(docs: DataFrame, size: int, minmax: MinMax) -> DataFrame:
     return rows.mapInArrow(sign, "doc_id bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>")
 
 
-def _bloom_bits(ids: DataFrame, n_bits: int) -> np.ndarray:
-    """A Bloom filter of ids, as bytes; at most 16 partial filters reach the driver."""
+class Bloom:
+    """A Bloom filter of the one column of a table, of 16 MB at most; at most 16 partial filters reach the driver."""
 
-    def fill(batches):
-        bits = np.zeros(n_bits, bool)
-        for batch in batches:
-            for at in _bloom_places(batch.column(0).to_numpy(zero_copy_only=False), n_bits):
-                bits[at] = True
-        yield pa.RecordBatch.from_pydict({"bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+    def __init__(self, ids: DataFrame):
+        self.n_bits = 1 << min(27, max(16, (12 * ids.count()).bit_length()))
+        self.shared = ids.sparkSession.sparkContext.broadcast(self._filled(ids))
+
+    def _filled(self, ids: DataFrame) -> np.ndarray:
+        n_bits = self.n_bits
+
+        def fill(batches):
+            bits = np.zeros(n_bits, bool)
+            for batch in batches:
+                for at in _bloom_places(batch.column(0).to_numpy(zero_copy_only=False), n_bits):
+                    bits[at] = True
+            yield pa.RecordBatch.from_pydict({"bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+        total = np.zeros(n_bits // 8, np.uint8)
+        for row in ids.coalesce(16).mapInArrow(fill, "bits binary").toLocalIterator():
+            total |= np.frombuffer(row["bits"], np.uint8)
+        return total
 
-    total = np.zeros(n_bits // 8, np.uint8)
-    for row in ids.coalesce(16).mapInArrow(fill, "bits binary").toLocalIterator():
-        total |= np.frombuffer(row["bits"], np.uint8)
-    return total
+    def may_hold(self, values: pa.Array) -> np.ndarray:
+        """A mask: False where a value is surely not among the ids; null is never."""
+        known = np.asarray(values.is_valid()).copy() if values.null_count else np.ones(len(values), bool)
+        numbers, bits = values.fill_null(0).to_numpy(zero_copy_only=False), self.shared.value
+        for at in _bloom_places(numbers, self.n_bits):
+            known &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+        return known
 
 
 def _bloom_places(ids: np.ndarray, n_bits: int):
@@ -109,23 +124,42 @@ def _bloom_places(ids: np.ndarray, n_bits: int):
     return [((x + np.uint64(k) * step) % np.uint64(n_bits)).astype(np.int64) for k in range(4)]
 
 
+def _only(rows: DataFrame, bloom: Bloom) -> DataFrame:
+    """The rows whose first column the filter may hold, so that the others need no shuffle before a join."""
+
+    def take(batches):
+        for batch in batches:
+            chosen = batch.filter(pa.array(bloom.may_hold(batch.column(0))))
+            if chosen.num_rows:
+                yield chosen
+
+    return rows.mapInArrow(take, rows.schema)
+
+
+def _shared_bands(reps: DataFrame, bloom: Bloom) -> DataFrame:
+    """(id, n, key) of the band keys that the filter may hold."""
+
+    def pick(batches):
+        for batch in batches:
+            owner, key = batch.column(2).value_parent_indices(), batch.column(2).flatten()
+            held = pa.array(bloom.may_hold(key))
+            owner = owner.filter(held)
+            if len(owner):
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(owner), batch.column(1).take(owner), key.filter(held)], names=["id", "n", "key"])
+
+    return reps.select("id", "n", "keys").mapInArrow(pick, "id bigint, n bigint, key bigint")
+
+
 def candidate_sets(docs: DataFrame, ids: DataFrame, size: int, space: Workspace, name: str) -> DataFrame:
     """(id, shingles) of the documents named by ids (id), and perhaps some more.
 
     The texts are scanned again, behind a Bloom filter of fixed size, rather than stored or shuffled as sets for all.
     """
-    n_bits = 1 << min(27, max(16, (12 * ids.count()).bit_length()))
-    shared = docs.sparkSession.sparkContext.broadcast(_bloom_bits(ids, n_bits))
+    bloom = Bloom(ids)
 
     def take(batches):
-        bits = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            got = batch.column(0)
-            known = np.asarray(got.is_valid()) if got.null_count else np.ones(len(got), bool)
-            numbers = got.fill_null(0).to_numpy(zero_copy_only=False)
-            for at in _bloom_places(numbers, n_bits):
-                known = known & bits[at]
-            chosen = pa.RecordBatch.from_arrays(batch.columns, names=batch.schema.names).filter(pa.array(known))
+            chosen = batch.filter(pa.array(bloom.may_hold(batch.column(0))))
             if chosen.num_rows:
                 sets = [signed(x) for _, x in _sets(chosen, 1, size)]
                 yield pa.RecordBatch.from_pydict({"id": chosen.column(0), "shingles": pa.array(sets, pa.list_(pa.int64()))})
@@ -136,7 +170,9 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, size: int, space: Workspace,
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
-    joined = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+    x = _only(sets, Bloom(pairs.select("a"))).select(F.col("id").alias("a"), F.col("shingles").alias("x"))
+    y = _only(sets, Bloom(pairs.select("b"))).select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+    joined = pairs.join(y, "b").join(x, "a")
     both = F.size(F.array_intersect("x", "y"))
     return joined.where(both * 100 >= (F.size("x") + F.size("y") - both) * percent).select("a", "b")
 
@@ -202,9 +238,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     known = signed_docs.where("n > 0 AND doc_id IS NOT NULL")
     # one representative for each distinct set
     reps = space.save(known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id"), F.min_by("keys", "doc_id").alias("keys")), "representatives")
-    band = reps.select("id", "n", F.explode("keys").alias("key"))
-    shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    bucket = space.save(band.join(shared, "key"), "buckets")
+    shared = reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    shared = space.save(shared, "shared")
+    bucket = space.save(_shared_bands(reps, Bloom(shared.select("key"))).join(shared, "key"), "buckets")
     central = bucket.groupBy("id").agg(F.sum("c").alias("central"))
     hub = bucket.join(central, "id").groupBy("key").agg(F.max_by(F.struct("id", "n", "central"), F.struct("central", -F.col("id"))).alias("hub"))
     met = bucket.join(hub, "key").select(F.col("hub.id").alias("hub"), "id", F.col("hub.n").alias("na"), F.col("n").alias("nb"), "hub.central")
@@ -235,6 +271,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     few = few.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", "n", "comp"))).alias("m"))
     two = few.select(F.explode(F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x.id AS a, y.id AS b, x.n AS na, y.n AS nb, x.comp AS ca, y.comp AS cb))))")).alias("p")).select("p.*")
     two = two.where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b")) & _sizes_fit(percent)).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    two = space.save(two, "pairs3")
     links = links.union(space.save(_confirmed(two, sets, percent), "links3"))
 
     unsolved = left.where(F.col("c") > small)
