@@ -28,7 +28,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that share a doc_id are one document, of which the smallest row stays; rows without doc_id stay.
     """
-    judged = Workspace(spark, "dedup").save(near_duplicates(docs, size=5, percent=80).select("doc_id", "kept"), "judged")
+    work = Workspace(spark, "neardup")
+    judged = Workspace(spark, "dedup").save(near_duplicates(docs, size=5, percent=80, space=work).select("doc_id", "kept"), "judged")
+    work.clear()
     kept = judged.where("kept AND doc_id IS NOT NULL").select("doc_id")
     out = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
     if kept.groupBy("doc_id").count().where("count > 1").limit(1).count():

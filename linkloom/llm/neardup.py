@@ -227,13 +227,13 @@ def _rest(unsolved: DataFrame, labels: DataFrame, sets: DataFrame, percent: int,
     return space.save(asked.unionByName(held).groupBy("family", "q", "t").applyInArrow(compare, "a bigint, b bigint"), "rest")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, small: int = SMALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, small: int = SMALL, space: Workspace | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (smallest linked doc_id), kept.
 
     docs: doc_id, text.  Two documents are linked if 100 * |A & B| >= percent * |A | B|, A and B being their sets of
-    `size`-word shingles; a text of fewer words is one shingle.
+    `size`-word shingles; a text of fewer words is one shingle.  space: where the tables go that the result reads.
     """
-    space = Workspace(docs.sparkSession, "neardup")
+    space = space or Workspace(docs.sparkSession, "neardup")
     signed_docs = space.save(signatures(docs, size, MinMax(bands, rows)), "signatures")
     known = signed_docs.where("n > 0 AND doc_id IS NOT NULL")
     # one representative for each distinct set
@@ -245,6 +245,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     hub = bucket.join(central, "id").groupBy("key").agg(F.max_by(F.struct("id", "n", "central"), F.struct("central", -F.col("id"))).alias("hub"))
     met = bucket.join(hub, "key").select(F.col("hub.id").alias("hub"), "id", F.col("hub.n").alias("na"), F.col("n").alias("nb"), "hub.central")
     met = space.save(met.where((F.col("hub") != F.col("id")) & _sizes_fit(percent)).groupBy("hub", "id").agg(F.max("central").alias("central")), "met")
+    space.release()
     sets = candidate_sets(docs, bucket.select("id").distinct(), size, space, "sets")
     same_id = known.groupBy("doc_id").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo <> hi").select(F.col("doc_id").alias("id"))
 
@@ -252,12 +253,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     once = met.groupBy("id").agg(F.max_by("hub", F.struct("central", -F.col("hub"))).alias("hub"))
     once = space.save(once.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "pairs1")
     links = space.save(_confirmed(once, sets, percent), "links1")
+    space.release()
     part = connected_components(links, space, "cc1")
     others = met.join(part.select(F.col("id"), F.col("comp").alias("ci")), "id", "left").join(part.select(F.col("id").alias("hub"), F.col("comp").alias("ch")), "hub", "left")
     others = others.where(F.coalesce("ci", "id") != F.coalesce("ch", "hub")).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
     others = space.save(others.join(once, ["a", "b"], "left_anti"), "pairs2")
     links = links.union(space.save(_confirmed(others, sets, percent), "links2"))
     pairs = once.union(others)
+    space.drop("met")
+    space.release()
 
     def labelled(step: str):
         found = connected_components(links, space, step)
@@ -274,6 +278,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     two = space.save(two, "pairs3")
     links = links.union(space.save(_confirmed(two, sets, percent), "links3"))
 
+    space.release()
     unsolved = left.where(F.col("c") > small)
     if unsolved.limit(1).count():
         now = space.save(labelled("cc3").where(F.col("c") > small), "labels2")
@@ -284,6 +289,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
 
     # one id for all that share a set or a doc_id
     found = connected_components(links, space, "cc")
+    space.drop("buckets", "sets", "open")
+    space.release()
     by_set = reps.select("s1", "s2", "n", "id").join(found, "id", "left").select("s1", "s2", "n", F.coalesce("comp", "id").alias("comp"))
     out = signed_docs.select("doc_id", "n", "s1", "s2").join(by_set, ["s1", "s2", "n"], "left")
     out = out.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("comp"))

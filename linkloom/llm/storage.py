@@ -77,6 +77,11 @@ class Workspace:
         for name in names:
             _delete(self.spark, f"{self.path}/{name}")
 
+    def clear(self) -> None:
+        """Deletes all tables of this workspace, which nothing may read any more."""
+        _delete(self.spark, self.path)
+        self.release()
+
     def release(self) -> None:
         """Let Spark's cleaner remove the shuffle files of plans that nothing refers to any more."""
         gc.collect()
