@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from linkloom.llm.decontam import decontaminate
 from linkloom.llm.language import keep_identified
 from linkloom.llm.mixing import mix
-from linkloom.llm.neardup import near_duplicates
+from linkloom.llm.neardup import near_duplicates, without_ids
 from linkloom.llm.storage import Workspace
 from linkloom.llm.token_store import store_round_trip
 
@@ -31,11 +31,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     work = Workspace(spark, "neardup")
     judged = Workspace(spark, "dedup").save(near_duplicates(docs, size=5, percent=80, space=work).select("doc_id", "kept"), "judged")
     work.clear()
-    kept = judged.where("kept AND doc_id IS NOT NULL").select("doc_id")
-    out = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    if kept.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        out = out.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return out.union(docs.where("doc_id IS NULL"))
+    judged = judged.where("doc_id IS NOT NULL")
+    out = without_ids(docs, judged.where("NOT kept").select("doc_id"))
+    if judged.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        one = out.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+        out = one.union(out.where("doc_id IS NULL"))
+    return out
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -136,6 +136,27 @@ def _only(rows: DataFrame, bloom: Bloom) -> DataFrame:
     return rows.mapInArrow(take, rows.schema)
 
 
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id is among ids (one column, no nulls).
+
+    Rows that a Bloom filter of ids surely doesn't hold pass at once; only the others are joined, so that few texts are
+    shuffled.  Rows without doc_id stay.
+    """
+    bloom, at = Bloom(ids), docs.columns.index("doc_id")
+
+    def part(held: bool) -> DataFrame:
+        def take(batches):
+            for batch in batches:
+                chosen = batch.filter(pa.array(bloom.may_hold(batch.column(at)) == held))
+                if chosen.num_rows:
+                    yield chosen
+
+        return docs.mapInArrow(take, docs.schema)
+
+    joined = part(True).join(ids.select(F.col(ids.columns[0]).alias("doc_id")), "doc_id", "left_anti")
+    return part(False).union(joined.select(*docs.columns))
+
+
 def _shared_bands(reps: DataFrame, bloom: Bloom) -> DataFrame:
     """(id, n, key) of the band keys that the filter may hold."""
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm import ann, chat, decontam, language, mixing, neardup, pii, quality, token_store, toxicity
 
+SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 
@@ -323,3 +324,15 @@ def test_nearest_neighbours(spark):
     assert np.mean(recall) > 0.95 and set(got.query_id) == set(range(0, 900, 20))
     few = ann.nearest(table.where("vec_id < 5 OR vec_id IS NULL"), F.col("vec_id") == 0)
     assert few.count() == 4 and ann.nearest(table.where("false"), F.col("vec_id") == 0).count() == 0
+
+
+def test_pipeline_keeps_one_document_of_each_group(spark):
+    from corpus_pipeline import drop_near_duplicates
+
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(3, text, "a"), (5, text.upper(), "b"), (8, text + " more", "c"), (9, "something else entirely here now", None), (9, "a second text of one id", "d"), (11, "", "e"), (12, None, "f"), (None, text, "g"), (None, None, "h")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, key string")
+    kept = drop_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.key or "") for r in kept.collect()) == [(0, "g"), (0, "h"), (3, "a"), (9, "d"), (11, "e"), (12, "f")]
+    assert drop_near_duplicates(spark, docs.where("false"), SF).count() == 0
