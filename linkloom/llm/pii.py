@@ -47,7 +47,7 @@ NUMBERS = {
 }
 OTHERS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+\-]*+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
-    "secret": r"(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})(?![\p{L}\p{N}])",
+    "secret": r"(?:[0-9A-Fa-f]{64}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{32}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})(?![\p{L}\p{N}])",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "name": rf"(?=\p{{Lu}}|госп)(?:{_TITLE} (?:{_NAME} )?{_NAME}|{_GIVEN} {_NAME})(?![\p{{L}}\p{{N}}])",
 }
@@ -161,7 +161,7 @@ def surrogates(key: str, found: str, attempt: str) -> str:
     titles = "array(" + ", ".join(_q(t) for group in TITLES.values() for t in group) + ")"
     parts = f"transform(split(x.e, ' '), p -> named_struct('p', p, 's', {_stream(key, 'name', 'concat(p, ' + _q('|') + ', CAST(x.n AS STRING))')}))"
     name = f"array_join(transform({parts}, q -> CASE WHEN array_contains({titles}, replace(q.p, '.', '')) THEN q.p {_given(key, 'q.p')} ELSE {_drawn('q.p', 'q.s')} END), ' ')"
-    secret = f"concat(x.lead, {_drawn('x.rest', 'x.s', hexadecimal='x.e RLIKE ' + _q('^[0-9a-f]+$'))})"
+    secret = f"concat(x.lead, {_drawn('x.rest', 'x.s', hexadecimal='x.e RLIKE ' + _q('^[0-9A-Fa-f]+$'))})"
     numbers = f"concat(x.lead, {_drawn('x.rest', 'x.s', True)})"
     return f"transform({checked}, x -> CASE x.kind WHEN 'email' THEN {email} WHEN 'phone' THEN {numbers} WHEN 'ssn' THEN {numbers} WHEN 'card' THEN {layout} WHEN 'iban' THEN {layout} WHEN 'ip' THEN {ip} WHEN 'name' THEN {name} WHEN 'secret' THEN {secret} ELSE x.e END)"
 

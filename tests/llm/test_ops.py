@@ -294,6 +294,16 @@ def test_pii_surrogates(spark):
     assert [r.n_pii for r in got] == [3, 2, 3, 3, 0, 0, 0, 1, 1]
 
 
+def test_pii_hexadecimal_credentials_in_capitals(spark):
+    rng = random.Random(4)
+    made = ["".join(rng.choice(digits) for _ in range(n)) for digits in ("0123456789ABCDEF", "0123456789abcdef", "0123456789abcDEF") for n in (32, 40, 64)]
+    out = [r.text for r in pii.pseudonymise(_docs(spark, [f'TOKEN = "{t}"' for t in made])).where("pii_types = array('secret') AND n_pii = 1").orderBy("doc_id").collect()]
+    assert len(out) == len(made)
+    for old, text in zip(made, out):
+        new = re.fullmatch(r'TOKEN = "([0-9A-Fa-f]+)"', text)[1]
+        assert new != old and [(c.isdigit(), c.isupper()) for c in new] == [(c.isdigit(), c.isupper()) for c in old]
+
+
 def test_pii_collisions_are_drawn_again(spark):
     said = [f"Call {a}{b}{c}-{d}{e}-0000 now" for a in range(3) for b in range(10) for c in range(10) for d, e in ((0, 0), (1, 1), (2, 2))] * 2
     # ssn surrogates have nine digits; short hosts collide far more often
