@@ -1,11 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 The tokens of the corpus form a table of cells, source x language x topic.  Raking multiplies the cells until each margin
-has its target shares; a cell's factor is the weight of its documents.  A document is then kept with the calibrated
-probability min(1, c * weight), c being such that the expected tokens make the wanted share of the corpus; the decision is
-a hash of doc_id, so it can be repeated.
+has its target shares; a cell's factor is the weight of its documents.  A document is then kept with a probability that is
+raked as well, under the bound that none exceeds 1, so the expected sample has the target shares.  Its expected tokens make
+the wanted share of the corpus, or the largest share found at which the targets can be met, with a warning that states it;
+the decision is a hash of doc_id, so it can be repeated.
 
 Only cells are ever gathered, never documents: up to `MAX_CELLS` of them are raked on the driver, more by Spark joins.
+By joins the bound is met by one common factor on all weights, which can keep less than raking under it would.
 
 Topics: where docs has no column `topic`, a topic is the sign pattern of three random projections of the text's longer
 words, so texts with the same vocabulary share it.
@@ -17,6 +19,8 @@ the rest; documents of cells without tokens get weight 1; a null doc_id is decid
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +34,8 @@ MARGINS = ("source", "lang", "topic")
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.5}
 KEEP, MAX_CELLS, ROUNDS, TOLERANCE = 0.7, 200_000, 200, 1e-9
 TOPIC_BITS, LONG_WORD = 3, 6
+#: Error of a share up to which the bounded probabilities count as meeting it, and rounds and tries for the kept share.
+MET, BOUNDED_ROUNDS, TRIES = 1e-6, 500, 8
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -85,15 +91,65 @@ def rake(mass: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], r
     return np.divide(now * mass.sum(), mass, out=np.ones_like(mass), where=mass > 0)
 
 
-def cap_factor(mass: np.ndarray, weight: np.ndarray, keep: float) -> float:
-    """c with sum(mass * min(1, c * weight)) = keep * sum(mass)."""
-    lo, hi = 0.0, 1.0
-    while (mass * np.minimum(1, hi * weight)).sum() < keep * mass.sum() and hi < 1e12:
-        hi *= 2
-    for _ in range(100):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if (mass * np.minimum(1, mid * weight)).sum() < keep * mass.sum() else (lo, mid)
-    return hi
+def rake_bounded(mass: np.ndarray, weight: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], keep: float, rounds: int = BOUNDED_ROUNDS) -> tuple[np.ndarray, float]:
+    """Probabilities min(1, product of the margins' factors * weight) that bring the margins of mass * probability to
+    keep * `targets`, as far as they can, and the largest error of a share.
+
+    A value's factor is found by Newton's method from below, which ends as the sum is concave and linear in pieces.
+    """
+    total, free = mass.sum(), keep * weight
+    worst = np.inf
+    for _ in range(rounds):
+        worst = 0.0
+        for code, target in zip(codes, targets):
+            aim, n = target * keep * total, len(target)
+            worst = max(worst, float(np.abs(np.bincount(code, mass * np.minimum(1, free), n) - aim).max()) / (keep * total))
+            room = np.bincount(code, mass * free, n)
+            factor = np.divide(aim, room, out=np.ones(n), where=room > 0)
+            full = np.zeros(len(mass), bool)
+            while True:
+                now = free * factor[code] >= 1
+                if (now == full).all():
+                    break
+                full = now
+                capped, room = np.bincount(code, mass * full, n), np.bincount(code, mass * free * ~full, n)
+                factor = np.maximum(factor, np.divide(aim - capped, room, out=factor.copy(), where=room > 0))
+            free = np.minimum(free * factor[code], 1e9)
+        if worst < MET / 10:
+            break
+    return np.minimum(1, free), worst
+
+
+def probabilities(mass: np.ndarray, weight: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], keep: float) -> np.ndarray:
+    """Probabilities that meet the targets at the kept share `keep`, or at the largest one found that can meet them.
+
+    Where raking without bound misses targets too (they contradict each other), that error is the measure.
+    """
+    total, has = mass.sum(), mass > 0
+    met = MET + max(float(np.abs(np.bincount(c, mass * weight, len(t)) / total - t).max()) for c, t in zip(codes, targets))
+    high = keep
+    for code, target in zip(codes, targets):  # no value can give more tokens than it has
+        have = np.bincount(code, mass, len(target))
+        high = min(high, float((have[target > 0] / (target[target > 0] * total)).min()))
+    sure = min(high, 1 / float(weight[has].max()))  # one common factor: no weight is bounded
+    best, low = np.minimum(1, sure * weight), sure
+    for attempt in range(TRIES):
+        now = high if attempt == 0 else (low + high) / 2
+        if now <= low:
+            break
+        p, error = rake_bounded(mass, weight, codes, targets, now)
+        if error <= met:
+            best, low = p, now
+            if attempt == 0:
+                break
+        else:
+            high = now
+    return best
+
+
+def _say_kept(kept: float, keep: float) -> None:
+    if kept < keep - 1e-6:
+        logging.getLogger(__name__).warning("mixing keeps %.4f of the tokens, not %.4f: more can't meet the targets with probabilities up to 1", kept, keep)
 
 
 def _rake_joined(cells: DataFrame, space: Workspace, targets: dict, rounds: int) -> DataFrame:
@@ -141,21 +197,17 @@ def cell_weights(docs: DataFrame, targets: dict[str, dict[str, float]] | None =
             codes.append(code)
             aims.append(np.array([share.get(v, 0.0) for v in values]))
         weight = rake(mass, codes, aims) if mass.sum() > 0 else np.ones(len(mass))
-        c = cap_factor(mass, weight, keep) if mass.sum() > 0 else keep
-        out = [(*(r[m] for m in MARGINS), int(t), float(w), float(min(1.0, c * w))) for r, t, w in zip(rows, mass, weight)]
+        chance = probabilities(mass, weight, codes, aims, keep) if mass.sum() > 0 else np.full(len(mass), keep)
+        if mass.sum() > 0:
+            chance[mass == 0] = keep
+            _say_kept(float((mass * chance).sum() / mass.sum()), keep)
+        out = [(*(r[m] for m in MARGINS), int(t), float(w), float(p)) for r, t, w, p in zip(rows, mass, weight, chance)]
         return F.broadcast(spark.createDataFrame(out, "source string, lang string, topic string, tokens bigint, weight double, probability double"))
     weighted = space.save(_rake_joined(cells, space, targets, ROUNDS), "weights")
-    grand, lo, hi = float(weighted.agg(F.sum("tokens")).first()[0]), 0.0, 1.0
-
-    def kept(c: float) -> float:
-        return float(weighted.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.lit(c) * F.col("weight")))).first()[0]) / grand
-
-    while kept(hi) < keep and hi < 1e12:
-        hi *= 2
-    for _ in range(40):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if kept(mid) < keep else (lo, mid)
-    return weighted.withColumn("probability", F.least(F.lit(1.0), F.lit(hi) * F.col("weight")))
+    top = weighted.where("tokens > 0").agg(F.max("weight")).first()[0]
+    c = min(keep, 1 / top) if top else keep
+    _say_kept(c, keep)
+    return weighted.withColumn("probability", F.when(F.col("tokens") > 0, F.lit(c) * F.col("weight")).otherwise(F.lit(keep)))
 
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP, seed: int = 0, max_cells: int = MAX_CELLS) -> DataFrame:

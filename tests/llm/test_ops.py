@@ -227,6 +227,28 @@ def test_mixing_meets_its_targets(spark):
     assert mixing.mix(table.where("false")).count() == 0
 
 
+def test_mixing_probabilities_meet_the_targets(spark):
+    rng = random.Random(12)
+    pick = lambda values, shares: rng.choices(values, shares)[0]
+    docs = [(i, " ".join(["word"] * rng.randint(5, 30)), pick(["en", "de", "es", "fr"], [61, 15, 9, 15]), "hot" if rng.random() < 1 / 3 else f"s{rng.randint(1, 19)}", f"t{rng.randint(0, 7)}") for i in range(6000)]
+    table = spark.createDataFrame([*docs, (7000, "", "xx", "s1", "t0")], "doc_id bigint, text string, lang string, source string, topic string")
+    for cells in (200_000, 1):  # on the driver, or by joins
+        rows = mixing.cell_weights(table, keep=mixing.KEEP, max_cells=cells).toPandas()
+        drawn, kept = rows["tokens"] * rows["probability"], (rows["tokens"] * rows["probability"]).sum() / rows["tokens"].sum()
+        most = mixing.KEEP
+        for m, temper in mixing.TEMPER.items():
+            have = rows["tokens"].groupby(rows[m]).sum()
+            have = have[have > 0]
+            target = have**temper / (have**temper).sum()
+            got = drawn.groupby(rows[m]).sum()[have.index]
+            assert np.allclose(got / got.sum(), target, atol=1e-4), m
+            most = min(most, (have / have.sum() / target).min())
+        assert rows["probability"].between(0, 1).all() and kept <= mixing.KEEP + 1e-6
+        assert kept > (0.95 * most if cells > 1 else 0.3)  # raked under the bound, close to what any sample can keep
+    spread = mixing.cell_weights(table, {"lang": {"en": 0.5, "de": 0.2}}, keep=0.5).toPandas()
+    assert abs((spread["tokens"] * spread["probability"]).sum() / spread["tokens"].sum() - 0.5) < 1e-5
+
+
 def _legal(roles):
     state = chat.START
     for r in roles:
