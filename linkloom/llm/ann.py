@@ -1,8 +1,11 @@
 """Approximate nearest neighbours by largest inner product: NN-descent builds a neighbour graph, queries search it greedily.
 
-Equal vectors are one node.  Vectors are extended by one component so that all have the same length and the order by
-inner product becomes the order by angle (no change if they all have one length already), and coded as 8-bit integers,
-whose products are exact.  The first graph comes from blocks of random projection trees; then NN-descent joins, at each
+Equal vectors are one node.  Vectors whose lengths differ are dealt into bands, in each of which the longest is at most
+twice as long as the shortest; a query searches every band, with its direction alone.  In a band, vectors are extended by
+one component so that all have the same length and the order by inner product becomes the order by angle (no change if
+they all have one length already), and coded as 8-bit integers on the band's own scale, whose products are exact.  Where
+there are several bands, a query is compared with `SAMPLE` nodes of each: small bands are so searched in full, and in the
+others the best of them are where it begins.  The first graph comes from blocks of random projection trees; then NN-descent joins, at each
 node, its neighbours and those it is a neighbour of (neighbours of neighbours) and keeps for every node the `k` best.  A
 query begins at its own node and expands, round by round, the nearest nodes that it hasn't expanded.  The nearest found
 are scored again in double precision on the original vectors.
@@ -31,6 +34,8 @@ TOP, K = 20, 40
 TREES, BLOCK, MEET, ROUNDS = 16, 1000, 24, 8
 #: Nodes that a query keeps, that it expands in a round, and rounds of the search at most.
 BEAM, EXPAND, SEARCH_ROUNDS = 128, 24, 5
+#: Nodes of each band that a query is compared with, where there are several bands.
+SAMPLE = 4096
 _LIST = "array<struct<sim:int,id:bigint>>"
 
 
@@ -52,26 +57,29 @@ def _best(lists: Column, k: int) -> Column:
 
 
 def _codes(nodes: DataFrame) -> DataFrame:
-    """(id, code, q_code): the extended vectors as 8-bit integers, and as queries, whose added component is 0."""
-    norms = nodes.agg(F.max(F.sqrt(_dot("v", "v"))).alias("top"), F.min(F.sqrt(_dot("v", "v"))).alias("low"), F.max(F.array_max(F.transform("v", F.abs))).alias("peak")).first()
+    """(id, band, code, q_code): the extended vectors as 8-bit integers, and as queries, whose added component is 0."""
+    peak = F.array_max(F.transform("v", F.abs))
+    nodes = nodes.select("id", "v", (peak * F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / peak) * (x / peak)))).alias("norm"))
+    norms = nodes.agg(F.max("norm").alias("top"), F.min("norm").alias("low"), F.max(peak).alias("peak")).first()
     top = float(norms["top"] or 1.0)
     even = float(norms["low"] or 1.0) > top * (1 - 1e-6)
-    peak = max(float(norms["peak"] or 1.0) / top, 1.0 if not even else 0.0)
+    peak = float(norms["peak"] or 1.0) / top
 
     def code(batches):
         for batch in batches:
-            lists = batch.column(1)
             n = batch.num_rows
-            x = lists.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) / top if n else np.zeros((0, 1))
-            if not even:
-                x = np.column_stack((x, np.sqrt(np.maximum(1 - (x**2).sum(axis=1), 0))))
-            q = np.rint(x * (127 / peak)).astype(np.int8)
-            asks = q.copy()
-            if not even:
-                asks[:, -1] = 0
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r.tobytes() for r in m], pa.binary()) for m in (q, asks))], names=["id", "code", "q_code"])
+            v = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 1))
+            norm = batch.column(2).to_numpy(zero_copy_only=False)
+            band = np.zeros(n, np.int32) if even else np.floor(np.log2(top / norm)).astype(np.int32)
+            if even:
+                q = asks = np.rint(v / top * (127 / peak)).astype(np.int8)
+            else:
+                share = np.minimum(norm / np.ldexp(top, -band), 1)[:, None]
+                q = np.rint(np.column_stack((v / norm[:, None] * share, np.sqrt(1 - share**2))) * 127).astype(np.int8)
+                asks = np.column_stack((np.rint(v / np.abs(v).max(axis=1, keepdims=True) * 127), np.zeros(n))).astype(np.int8)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(band, pa.int32()), *(pa.array([r.tobytes() for r in m], pa.binary()) for m in (q, asks))], names=["id", "band", "code", "q_code"])
 
-    return nodes.select("id", "v").mapInArrow(code, "id bigint, code binary, q_code binary")
+    return nodes.mapInArrow(code, "id bigint, band int, code binary, q_code binary")
 
 
 def _matrix(codes) -> np.ndarray:
@@ -92,25 +100,27 @@ def _top_rows(ids: np.ndarray, x: np.ndarray, k: int):
     return at, np.take_along_axis(sims, at, axis=1)
 
 
-def first_graph(codes: DataFrame, n: int, k: int, space: Workspace) -> DataFrame:
-    """(id, nbrs) from the blocks of random projection trees."""
-    bits = max(0, int(np.ceil(np.log2(max(n, 1) / (BLOCK / 2)))))
+def first_graph(codes: DataFrame, sizes: dict[int, int], k: int, space: Workspace) -> DataFrame:
+    """(id, nbrs) from the blocks of random projection trees, each band by itself."""
+    depth = {b: max(0, int(np.ceil(np.log2(max(n, 1) / (BLOCK / 2))))) for b, n in sizes.items()}
+    bits = max(depth.values(), default=0)
     trees = TREES if bits else 1
 
     def place(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(1))
+            x = _matrix(batch.column(2))
             planes = (stream(99, trees * max(bits, 1) * x.shape[1]).astype(np.float64) / 2**63 - 1).reshape(trees * max(bits, 1), -1)
             signs = (x @ planes.T > 0).reshape(len(x), trees, -1)
             leaf = (signs * (1 << np.arange(signs.shape[2]))).sum(axis=2) if bits else np.zeros((len(x), trees), np.int64)
+            leaf &= (1 << np.array([depth[b] for b in batch.column(1).to_pylist()], np.int64))[:, None] - 1
             for t in range(trees):
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.full(len(x), t), pa.int32()), pa.array(leaf[:, t].astype(np.int64))], names=["id", "code", "tree", "leaf"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(x), t), pa.int32()), pa.array(leaf[:, t].astype(np.int64))], names=["id", "band", "code", "tree", "leaf"])
 
-    placed = codes.mapInArrow(place, "id bigint, code binary, tree int, leaf bigint")
-    sizes = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    placed = placed.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
+    placed = codes.select("id", "band", "code").mapInArrow(place, "id bigint, band int, code binary, tree int, leaf bigint")
+    sizes = placed.groupBy("band", "tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    placed = placed.join(sizes, ["band", "tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
 
     def block(table: pa.Table) -> pa.Table:
         ids = table.column("id").to_numpy()
@@ -121,7 +131,7 @@ def first_graph(codes: DataFrame, n: int, k: int, space: Workspace) -> DataFrame
             out += [[{"sim": int(s), "id": int(own[j])} for j, s in zip(a, b)] for a, b in zip(at, sims)]
         return pa.table({"id": pa.array(ids, pa.int64()), "nbrs": pa.array(out, pa.list_(pa.struct([("sim", pa.int32()), ("id", pa.int64())])))})
 
-    found = placed.groupBy("tree", "leaf", "part").applyInArrow(block, f"id bigint, nbrs {_LIST}")
+    found = placed.groupBy("band", "tree", "leaf", "part").applyInArrow(block, f"id bigint, nbrs {_LIST}")
     return space.save(found.groupBy("id").agg(_best(F.flatten(F.collect_list("nbrs")), k).alias("nbrs")).withColumn("old", F.array().cast("array<bigint>")), "graph0")
 
 
@@ -168,9 +178,11 @@ def _meet(codes: DataFrame, graph: DataFrame, step: int) -> DataFrame:
     return lists.select("all").mapInArrow(join, f"id bigint, nbrs {_LIST}")
 
 
-def neighbour_graph(codes: DataFrame, n: int, space: Workspace, k: int = K, rounds: int = ROUNDS) -> DataFrame:
-    """(id, nbrs): for every node up to k near nodes, best first."""
-    graph = first_graph(codes, n, k, space)
+def neighbour_graph(codes: DataFrame, sizes: dict[int, int], space: Workspace, k: int = K, rounds: int = ROUNDS) -> DataFrame:
+    """(id, nbrs): for every node up to k near nodes of its band, best first.  sizes: the nodes of each band."""
+    n = sum(sizes.values())
+    graph = first_graph(codes, sizes, k, space)
+    codes = codes.select("id", "code")
     if n <= BLOCK // 2:  # one block has seen every pair
         return graph.select("id", "nbrs")
     for step in range(1, rounds + 1):
@@ -194,33 +206,58 @@ def neighbour_graph(codes: DataFrame, n: int, space: Workspace, k: int = K, roun
     return graph.select("id", "nbrs")
 
 
-def search(queries: DataFrame, codes: DataFrame, graph: DataFrame, space: Workspace, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS) -> DataFrame:
-    """queries (q, a node) -> (q, near): the nodes found nearest to each, itself among them, best first."""
+def compare(asking: DataFrame, codes: DataFrame, beam: int = BEAM) -> DataFrame:
+    """asking (q, q_code) -> (q, band, near): in each band the nearest of up to SAMPLE nodes, all of a small band, best first."""
+    order = Window.partitionBy("band").orderBy(F.xxhash64("id"), "id")
+    rows = codes.select("id", "band", "code").withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE).drop("r").toArrow().sort_by([("band", "ascending"), ("id", "ascending")])
+    bands = rows.column("band").to_numpy()
+    cuts = np.flatnonzero(np.diff(bands, prepend=-1, append=-1))
+    table = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.int8).reshape(len(bands), -1)
+    shared = codes.sparkSession.sparkContext.broadcast((bands, rows.column("id").to_numpy(), table, cuts))
+
+    def run(batches):
+        bands, ids, table, cuts = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                asks = _matrix(part.column(1))
+                for lo, hi in zip(cuts, cuts[1:]):
+                    sims = asks @ table[lo:hi].astype(asks.dtype).T
+                    k = min(beam, hi - lo)
+                    best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+                    found = pa.StructArray.from_arrays([pa.array(np.take_along_axis(sims, best, axis=1).astype(np.int32).ravel()), pa.array(ids[lo:hi][best].ravel())], names=["sim", "id"])
+                    near = pa.ListArray.from_arrays(pa.array(np.arange(0, best.size + 1, k), pa.int32()), found)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.full(len(asks), bands[lo]), pa.int32()), near], names=["q", "band", "near"])
+
+    found = asking.select("q", "q_code").mapInArrow(run, f"q bigint, band int, near {_LIST}")
+    return found.withColumn("near", F.sort_array(F.filter("near", lambda x: x["id"] != F.col("q")), asc=False))
+
+
+def search(begin: DataFrame, codes: DataFrame, graph: DataFrame, space: Workspace, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS) -> DataFrame:
+    """begin (q, band, near: where it begins) -> (q, near): the nodes found nearest to each in each band, best first."""
     links = graph.select(F.col("id").alias("node"), F.transform("nbrs", lambda x: x["id"]).alias("next"))
     own = codes.select(F.col("id").alias("q"), "q_code")
     codes = codes.select("id", "code")
-    # a query's own node comes first, so that it is expanded first
-    begin = F.array(F.struct(F.lit((1 << 31) - 1).alias("sim"), F.col("q").alias("id")))
-    state = space.save(queries.select("q", begin.alias("near"), F.array().cast("array<bigint>").alias("done")), "search0")
+    state = space.save(begin.select("q", "band", "near", F.array().cast("array<bigint>").alias("done")), "search0")
 
     def product(batches):
         for batch in batches:
             if batch.num_rows:
-                sims = np.einsum("ij,ij->i", _matrix(batch.column(2)), _matrix(batch.column(3)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims.astype(np.int32))], names=["q", "id", "sim"])
+                sims = np.einsum("ij,ij->i", _matrix(batch.column(3)), _matrix(batch.column(4)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sims.astype(np.int32))], names=["q", "band", "id", "sim"])
 
     for step in range(1, rounds + 1):
         chosen = F.slice(F.array_except(F.transform("near", lambda x: x["id"]), "done"), 1, expand)
         state = space.save(state.withColumn("go", chosen), f"chosen{step}")
         if not state.where(F.size("go") > 0).limit(1).count():
             break
-        step_to = state.select("q", F.explode("go").alias("node")).join(links, "node").select("q", F.explode("next").alias("id"))
+        step_to = state.select("q", "band", F.explode("go").alias("node")).join(links, "node").select("q", "band", F.explode("next").alias("id"))
         seen = state.select("q", F.explode(F.concat("done", F.transform("near", lambda x: x["id"]))).alias("id"))
         new = step_to.distinct().join(seen, ["q", "id"], "left_anti")
-        scored = new.join(own, "q").join(codes, "id").select("q", "id", "q_code", "code").mapInArrow(product, "q bigint, id bigint, sim int")
+        scored = new.join(own, "q").join(codes, "id").select("q", "band", "id", "q_code", "code").mapInArrow(product, "q bigint, band int, id bigint, sim int")
         worst = F.coalesce(F.when(F.size("near") >= beam, F.element_at("near", -1)["sim"]), F.lit(-(1 << 31)))
-        better = scored.join(state.select("q", worst.alias("worst")), "q").where("sim > worst").groupBy("q").agg(F.collect_list(F.struct("sim", "id")).alias("more"))
-        nxt = state.join(better, "q", "left").select("q", _best(F.concat("near", F.coalesce("more", F.array().cast(_LIST))), beam).alias("near"), F.concat("done", "go").alias("done"))
+        better = scored.join(state.select("q", "band", worst.alias("worst")), ["q", "band"]).where("sim > worst").groupBy("q", "band").agg(F.collect_list(F.struct("sim", "id")).alias("more"))
+        nxt = state.join(better, ["q", "band"], "left").select("q", "band", _best(F.concat("near", F.coalesce("more", F.array().cast(_LIST))), beam).alias("near"), F.concat("done", "go").alias("done"))
         state = space.save(nxt, f"search{step}")
         space.release()
     return state.select("q", "near")
@@ -239,10 +276,23 @@ def nearest(embeddings: DataFrame, is_query: Column, top: int = TOP) -> DataFram
     if nodes.select("id").distinct().count() < n:
         nodes = space.save(nodes.withColumn("id", F.xxhash64("v", "id")), "nodes_apart")
     codes = space.save(_codes(nodes), "codes")
-    graph = neighbour_graph(codes.select("id", "code"), n, space)
+    sizes = {r["band"]: r["count"] for r in codes.groupBy("band").count().collect()}
+    large = sizes if len(sizes) <= 1 else {b: c for b, c in sizes.items() if c > SAMPLE}
+    some = codes.where(F.col("band").isin(list(large)))
     asked = rows.where(is_query).join(nodes.select("v", "id"), "v").select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"), F.col("id").alias("q"))
     asked = space.save(asked, "queries")
-    found = search(asked.select("q").distinct(), codes, graph, space)
+    # a query's own node comes first in its band, so that it is expanded first
+    own = F.array(F.struct(F.lit((1 << 31) - 1).alias("sim"), F.col("q").alias("id")))
+    asking = asked.select("q").distinct().join(codes.withColumnRenamed("id", "q"), "q")
+    begin = asking.select("q", "band", own.alias("near"))
+    if len(sizes) > 1:
+        seen = space.save(compare(asking, codes), "compared")
+        home = asking.select("q", F.col("band").alias("home"))
+        begin = seen.join(home, "q").select("q", "band", F.when(F.col("band") == F.col("home"), F.concat(own, "near")).otherwise(F.col("near")).alias("near"))
+    found = begin.select("q", "near")
+    if large:
+        walked = search(begin.where(F.col("band").isin(list(large))), codes, neighbour_graph(some, large, space), space)
+        found = walked if len(large) == len(sizes) else walked.union(begin.where(~F.col("band").isin(list(large))).select("q", "near"))
     near = found.select("q", F.explode(F.concat(F.array(F.col("q")), F.transform("near", lambda x: x["id"]))).alias("id")).distinct()
     near = near.join(nodes.select("id", "v", "members"), "id")
     scored = asked.join(near, "q").select("query_id", _dot("qv", "v").alias("score"), F.explode("members").alias("vec_id")).where("vec_id <> query_id")

@@ -358,6 +358,27 @@ def test_nearest_neighbours(spark):
     assert few.count() == 4 and ann.nearest(table.where("false"), F.col("vec_id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("sample", [4096, 200])
+def test_nearest_neighbours_of_unequal_lengths(spark, monkeypatch, sample):
+    monkeypatch.setattr(ann, "SAMPLE", sample)  # bands in full, or by their graphs
+    rng = np.random.default_rng(2)
+    made = rng.normal(size=(1500, 24))
+    made /= np.linalg.norm(made, axis=1, keepdims=True)
+    made[700:1400] *= 1.4  # two large bands
+    made[1400:] *= np.exp(rng.normal(size=(100, 1)))
+    made[[3, 40, 500, 720, 1100]] *= 100
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(made)], "vec_id bigint, embedding array<double>")
+    got = ann.nearest(table, F.pmod("vec_id", F.lit(20)) == 0).toPandas()
+    recall = []
+    for q in range(0, 1500, 20):
+        scores = made @ made[q]
+        order = sorted((i for i in range(1500) if i != q), key=lambda i: (-scores[i], i))[:20]
+        own = got[got.query_id == q].sort_values("rank")
+        assert own["rank"].tolist() == list(range(1, 21)) and np.allclose(own.score, scores[own.vec_id])
+        recall.append(len(set(order) & set(own.vec_id)) / 20)
+    assert np.mean(recall) > 0.95
+
+
 def test_pipeline_keeps_one_document_of_each_group(spark):
     from corpus_pipeline import drop_near_duplicates
 
