@@ -11,7 +11,8 @@ query begins at its own node and expands, round by round, the nearest nodes that
 are scored again in double precision on the original vectors.
 
 The number of neighbours that meet at a node is bounded by sampling, as the method has it; no node is dropped, and each
-round is a handful of joins of rows of bounded size.
+round is a handful of joins of rows of bounded size.  Rounds aren't counted: NN-descent ends when less than 1 % of the
+neighbours are fresh, the search when no query keeps a node that it hasn't expanded.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, nor those whose
 length isn't the most common one; a query's own row isn't returned, copies of it are; ties go to the smaller vec_id;
@@ -20,6 +21,8 @@ rows with a null vec_id take no part; a vec_id with several vectors is several c
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,10 +33,10 @@ from .kernels import stream
 from .storage import Workspace
 
 TOP, K = 20, 40
-#: Trees and block size of the first graph; neighbours of each kind that meet at a node; rounds at most.
-TREES, BLOCK, MEET, ROUNDS = 16, 1000, 24, 8
-#: Nodes that a query keeps, that it expands in a round, and rounds of the search at most.
-BEAM, EXPAND, SEARCH_ROUNDS = 128, 24, 5
+#: Trees and block size of the first graph; neighbours of each kind that meet at a node.
+TREES, BLOCK, MEET = 16, 1000, 24
+#: Nodes that a query keeps, and that it expands in a round.
+BEAM, EXPAND = 128, 24
 #: Nodes of each band that a query is compared with, where there are several bands.
 SAMPLE = 4096
 _LIST = "array<struct<sim:int,id:bigint>>"
@@ -178,14 +181,14 @@ def _meet(codes: DataFrame, graph: DataFrame, step: int) -> DataFrame:
     return lists.select("all").mapInArrow(join, f"id bigint, nbrs {_LIST}")
 
 
-def neighbour_graph(codes: DataFrame, sizes: dict[int, int], space: Workspace, k: int = K, rounds: int = ROUNDS) -> DataFrame:
+def neighbour_graph(codes: DataFrame, sizes: dict[int, int], space: Workspace, k: int = K) -> DataFrame:
     """(id, nbrs): for every node up to k near nodes of its band, best first.  sizes: the nodes of each band."""
     n = sum(sizes.values())
     graph = first_graph(codes, sizes, k, space)
     codes = codes.select("id", "code")
     if n <= BLOCK // 2:  # one block has seen every pair
         return graph.select("id", "nbrs")
-    for step in range(1, rounds + 1):
+    for step in count(1):
         ids = F.transform("nbrs", lambda x: x["id"])
 
         def sample(array: Column, step: int = step) -> Column:
@@ -233,7 +236,7 @@ def compare(asking: DataFrame, codes: DataFrame, beam: int = BEAM) -> DataFrame:
     return found.withColumn("near", F.sort_array(F.filter("near", lambda x: x["id"] != F.col("q")), asc=False))
 
 
-def search(begin: DataFrame, codes: DataFrame, graph: DataFrame, space: Workspace, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS) -> DataFrame:
+def search(begin: DataFrame, codes: DataFrame, graph: DataFrame, space: Workspace, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
     """begin (q, band, near: where it begins) -> (q, near): the nodes found nearest to each in each band, best first."""
     links = graph.select(F.col("id").alias("node"), F.transform("nbrs", lambda x: x["id"]).alias("next"))
     own = codes.select(F.col("id").alias("q"), "q_code")
@@ -246,7 +249,7 @@ def search(begin: DataFrame, codes: DataFrame, graph: DataFrame, space: Workspac
                 sims = np.einsum("ij,ij->i", _matrix(batch.column(3)), _matrix(batch.column(4)))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sims.astype(np.int32))], names=["q", "band", "id", "sim"])
 
-    for step in range(1, rounds + 1):
+    for step in count(1):
         chosen = F.slice(F.array_except(F.transform("near", lambda x: x["id"]), "done"), 1, expand)
         state = space.save(state.withColumn("go", chosen), f"chosen{step}")
         if not state.where(F.size("go") > 0).limit(1).count():
@@ -259,6 +262,7 @@ def search(begin: DataFrame, codes: DataFrame, graph: DataFrame, space: Workspac
         better = scored.join(state.select("q", "band", worst.alias("worst")), ["q", "band"]).where("sim > worst").groupBy("q", "band").agg(F.collect_list(F.struct("sim", "id")).alias("more"))
         nxt = state.join(better, ["q", "band"], "left").select("q", "band", _best(F.concat("near", F.coalesce("more", F.array().cast(_LIST))), beam).alias("near"), F.concat("done", "go").alias("done"))
         state = space.save(nxt, f"search{step}")
+        space.drop(f"chosen{step}", f"search{step - 1}")
         space.release()
     return state.select("q", "near")
 

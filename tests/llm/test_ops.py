@@ -379,6 +379,18 @@ def test_nearest_neighbours_of_unequal_lengths(spark, monkeypatch, sample):
     assert np.mean(recall) > 0.95
 
 
+def test_neighbour_search_goes_on_until_nothing_is_left(spark):
+    # nodes on a ring, each linked to the next ones only: the far side takes many rounds
+    n, ahead = 40, 2
+    rng = np.random.default_rng(5)
+    code = np.column_stack((np.linspace(1, 100, n), rng.integers(1, 3, n))).astype(np.int8)
+    codes = spark.createDataFrame([(i, bytearray(c.tobytes()), bytearray(np.array([100, 0], np.int8).tobytes())) for i, c in enumerate(code)], "id bigint, code binary, q_code binary")
+    graph = spark.createDataFrame([(i, [(0, (i + j) % n) for j in range(1, ahead + 1)]) for i in range(n)], f"id bigint, nbrs {ann._LIST}")
+    begin = spark.createDataFrame([(0, 0, [((1 << 31) - 1, 0)])], f"q bigint, band int, near {ann._LIST}")
+    near = ann.search(begin, codes, graph, ann.Workspace(spark, "ring"), beam=64, expand=24).first()["near"]
+    assert {x.id for x in near} >= set(range(n - 3, n))
+
+
 def test_pipeline_keeps_one_document_of_each_group(spark):
     from corpus_pipeline import drop_near_duplicates
 
