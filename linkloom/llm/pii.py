@@ -1,23 +1,38 @@
 """PII surrogates: keyed, type-consistent replacements of personal data, with DataFrame expressions alone.
 
-Entities are e-mail addresses, telephone numbers, payment cards (by their check digit), IPv4 addresses, US social
+Entities are e-mail addresses, telephone numbers, payment cards (by their check digit), IPv4 and IPv6 addresses, US social
 security numbers, IBANs (by their check digits), credentials, and personal names (after a form of address or with a
-known given name).  A surrogate is drawn from SHA-256 of key, type and normalised entity, so the same entity has the
-same surrogate in every document.  It keeps the format: digits stay digits, letters stay letters of the same case and
-script, marks stay; cards and IBANs get right check digits, addresses stay in range, and given names are exchanged for
-given names of the same gender and script.  Names are replaced part by part, so "Mr Smith" and "John Smith" still agree.
-
-Collision checks: over the distinct entities of the whole table, a surrogate that two entities share, or that is itself
-an entity of the table, is drawn again for all but one of them, until none is left.  Only entities that were drawn again
-are looked up; all others are replaced inside the scan, and texts aren't shuffled for them.
+known given name).  A surrogate is drawn from HMAC-SHA-256 of the units that make up an entity, so the same entity has the
+same surrogate in every document.  Units: an e-mail has its address and its host, a name its parts, every other entity is
+one unit in its normal form (without layout).  So "Mr Smith" and "John Smith" agree, and addresses of one host stay together.
+A surrogate keeps the format: digits stay digits, letters stay letters of the same case and script, marks stay; cards
+and IBANs get right check digits, IPv4 addresses stay in range, and given names are exchanged for given names of the same
+gender and script by a keyed permutation of their list.
+
+The key comes from the argument, the setting `KEY_SETTING` or the variable `KEY_VARIABLE`; without one it is random, and the
+same only within one application.  It reaches the expressions through a scalar subquery on a local relation, so no plan,
+explain output or event log shows it (Spark also redacts settings whose name holds "secret").
+
+Collision checks: over the distinct units of the whole table, a surrogate that two units share, or that is itself a unit
+of the table, is drawn again for all but the smallest of them, until none is left; from draw `WIDEN` on, hosts, local
+parts, name parts and telephone numbers grow by a character a draw, so that short forms can't run out.  Where the format
+is fixed and `ROUNDS` draws don't reach distinctness, an error is raised.  A redraw of one name part leaves the others.
+Given names, being permuted, are distinct by themselves, and may be other given names of the table.  Only texts
+that hold a redrawn unit take another draw than the first, and are found by a join on the text's digest.
 
 Defined results: a null text stays null with no entities; overlapping candidates are taken leftmost, in the order of
 `PATTERNS`; digit groups without a valid check digit, dotted numbers out of range and names without a cue are left
-alone; repeated rows are treated alike; a document's other columns are carried through.
+alone; an e-mail's local part has 128 characters at most, its host 127 labels; repeated rows are treated alike; a
+document's other columns are carried through, but ``pii_types`` and ``n_pii`` replace columns of these names.
 """
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+import os
+import secrets
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,10 +50,12 @@ GIVEN = {
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_HEX = "[0-9A-Fa-f]{1,4}"
 _NAME = r"\p{Lu}[\p{Ll}\-']+"
 _TITLE = "(?:" + "|".join(t for group in TITLES.values() for t in group) + r")\.?"
 _GIVEN = "(?:" + "|".join(n for group in GIVEN.values() for n in group) + ")"
 #: Type and pattern, in the order in which they are tried at one place; all begin where no letter or digit stands before.
+#: Every repetition of a group is bounded: Java's matcher recurses into those, and the work at one place stays bounded.
 NUMBERS = {
     "ssn": r"(?<!-)\d{3}-\d{2}-\d{4}(?![\d\-])",
     "phone": r"(?<!\+)(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[\-. ]\d{4}|\d{3}[\-.]\d{3}[\-.]\d{4})(?![\p{L}\p{N}])",
@@ -46,18 +63,23 @@ NUMBERS = {
     "ip": rf"(?<!\.){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)",
 }
 OTHERS = {
-    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+\-]*+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
+    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+\-]{0,127}+@(?:[\p{L}\p{N}\-]{1,63}\.){1,126}\p{L}{2,63}",
     "secret": r"(?:[0-9A-Fa-f]{64}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{32}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})(?![\p{L}\p{N}])",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "name": rf"(?=\p{{Lu}}|госп)(?:{_TITLE} (?:{_NAME} )?{_NAME}|{_GIVEN} {_NAME})(?![\p{{L}}\p{{N}}])",
+    "ip6": rf"(?<!:)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{2,6}}(?::{_HEX}){{1,5}})(?![\p{{L}}\p{{N}}:])",
 }
 PATTERNS = OTHERS | NUMBERS
 ANY = r"(?<![\p{L}\p{N}])(?:(?=[\p{L}\p{N}])(?:" + "|".join(OTHERS.values()) + r")|(?=[\d+(])(?:" + "|".join(NUMBERS.values()) + "))"
 #: Put around matches; a text that holds it is cut by the pattern itself.
 MARK = "\u0001\u0002\u0001"
-DEFAULT_KEY = "surrogates"
+KEY_SETTING, KEY_VARIABLE = "spark.linkloom.pii.secret", "LINKLOOM_PII_SECRET"
 #: What stays of a telephone number (the country code) and of a credential (its kind).
 PHONE_LEAD, SECRET_LEAD = r"^\+\d{1,3}(?=[ .\-(])", "^(AKIA|gh._|sk-)"
+#: The draw from which units of a free length grow, and the draws after which one of a fixed length is given up.
+WIDEN, ROUNDS = 4, 60
+
+_made: dict[str, bytes] = {}
 
 
 def _q(text: str) -> str:
@@ -65,9 +87,42 @@ def _q(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _stream(key: str, salt: str, what: str) -> str:
-    """128 hexadecimal digits drawn from key, salt and the string expression `what`."""
-    return f"concat(sha2(concat({_q(key + '|' + salt + '|0|')}, {what}), 256), sha2(concat({_q(key + '|' + salt + '|1|')}, {what}), 256))"
+def secret_key(spark: SparkSession, key: str | bytes | None = None) -> bytes:
+    key = key or spark.conf.get(KEY_SETTING, None) or os.environ.get(KEY_VARIABLE)
+    if key:
+        return key.encode() if isinstance(key, str) else bytes(key)
+    return _made.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
+def given_names(key: bytes) -> dict[str, str]:
+    """Each given name's surrogate: the next one in its list, in an order drawn by the key."""
+    out = {}
+    for (script, gender), names in GIVEN.items():
+        order = sorted(names, key=lambda n: hmac.digest(key, f"given|{script}|{gender}|{n}".encode(), "sha256"))
+        out |= dict(zip(order, order[1:] + order[:1]))
+    return out
+
+
+def _key_column(spark: SparkSession, key: bytes) -> Column:
+    """struct(i, o: the two key blocks of HMAC, given: the map of given names), from a relation of one row in the JVM."""
+    block = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    names = jvm.java.util.ArrayList()
+    for pair in given_names(key).items():
+        names.add("=".join(pair))
+    cells = gateway.new_array(jvm.java.lang.Object, 3)
+    cells[0], cells[1], cells[2] = bytearray(b ^ 0x36 for b in block), bytearray(b ^ 0x5C for b in block), names
+    rows = jvm.java.util.ArrayList()
+    rows.add(jvm.org.apache.spark.sql.RowFactory.create(cells))
+    schema = jvm.org.apache.spark.sql.types.StructType.fromDDL("i binary, o binary, g array<string>")
+    made = DataFrame(spark._jsparkSession.createDataFrame(rows, schema), spark)
+    given = F.map_from_entries(F.transform("g", lambda x: F.struct(F.substring_index(x, "=", 1), F.substring_index(x, "=", -1))))
+    return made.select(F.struct("i", "o", given.alias("given"))).scalar()
+
+
+def _hmac(message: str) -> str:
+    """HMAC-SHA-256 in hexadecimal digits; the key is the column kk."""
+    return f"sha2(concat(kk.o, unhex(sha2(concat(kk.i, CAST({message} AS BINARY)), 256))), 256)"
 
 
 def _byte(stream: str, i: str) -> str:
@@ -119,56 +174,54 @@ def entity_type(e: str) -> str:
     return f"CASE {' '.join(whens)} END"
 
 
-def normalised(kind: str, e: str) -> str:
-    """What makes two mentions the same entity."""
-    return f"CASE {kind} WHEN 'email' THEN lower({e}) WHEN 'card' THEN regexp_replace({e}, '[^0-9]', '') WHEN 'phone' THEN regexp_replace({e}, '[^0-9+]', '') WHEN 'iban' THEN replace({e}, ' ', '') ELSE {e} END"
-
-
-def _given(key: str, part: str) -> str:
-    """A known given name's surrogate: the list of its gender and script, turned by a keyed distance."""
-    whens = []
-    for (script, gender), names in GIVEN.items():
-        table = "array(" + ", ".join(_q(n) for n in names) + ")"
-        turn = f"1 + CAST(conv(substring(sha2({_q(f'{key}|given|{script}|{gender}')}, 256), 1, 6), 16, 10) AS INT) % {len(names) - 1}"
-        whens.append(f"WHEN array_contains({table}, {part}) THEN element_at({table}, CAST(1 + (array_position({table}, {part}) - 1 + {turn}) % {len(names)} AS INT))")
-    return " ".join(whens)
+_TITLE_LIST = "array(" + ", ".join(_q(t) for group in TITLES.values() for t in group) + ")"
+_GIVEN_LIST = "array(" + ", ".join(_q(n) for group in GIVEN.values() for n in group) + ")"
+_DIGITS = "regexp_replace(x.e, '[^0-9]', '')"
+_LEAD = f"regexp_extract(x.e, {_q(PHONE_LEAD)}, 0)"
+#: The units of a mention x (kind, e), each a struct (kind, n: its normal form); a telephone number's lead stands before a space.
+UNITS = f"""CASE x.kind
+WHEN 'email' THEN array(named_struct('kind', 'local', 'n', lower(x.e)), named_struct('kind', 'host', 'n', lower(substring_index(x.e, '@', -1))))
+WHEN 'name' THEN transform(split(x.e, ' '), p -> named_struct('kind', CASE WHEN array_contains({_TITLE_LIST}, replace(p, '.', '')) THEN 'title' WHEN array_contains({_GIVEN_LIST}, p) THEN 'given' ELSE 'part' END, 'n', p))
+WHEN 'phone' THEN array(named_struct('kind', x.kind, 'n', concat({_LEAD}, ' ', regexp_replace(substring(x.e, length({_LEAD}) + 1), '[^0-9+]', ''))))
+ELSE array(named_struct('kind', x.kind, 'n', CASE x.kind WHEN 'ip6' THEN lower(x.e) WHEN 'iban' THEN replace(x.e, ' ', '') WHEN 'ip' THEN x.e WHEN 'secret' THEN x.e ELSE {_DIGITS} END)) END"""
 
 
-def surrogates(key: str, found: str, attempt: str) -> str:
-    """The surrogates of an array of structs (kind, e), a SQL expression; `attempt` is the draw, an expression over x.
+def surrogates(units: str, attempt: str) -> str:
+    """The surrogates, in normal form, of an array of units, a SQL expression; `attempt` is the draw, an expression over u.
 
     Built in steps, each of which names what the next one uses more than once.
     """
-    # the keyed digits; an e-mail's host has its own, so that addresses of one host stay together
-    what = f"concat(x.kind, '|', {normalised('x.kind', 'x.e')}, '|', CAST({attempt} AS STRING))"
-    host = "substring_index(x.e, '@', -1)"
-    given = f"transform({found}, x -> named_struct('kind', x.kind, 'e', x.e, 'n', {attempt}, 's', {_stream(key, 'entity', what)}, 'h', {host}, 'hs', {_stream(key, 'host', f'lower({host})')}, 'd', regexp_replace(x.e, '[^0-9]', ''), 'c', replace(x.e, ' ', '')))"
+    message = lambda part: _hmac(f"concat(u.kind, '|{part}|', u.n, '|', CAST({attempt} AS STRING))")
+    drawn = f"transform({units}, u -> named_struct('kind', u.kind, 'n', u.n, 'wide', greatest(0, least({attempt} - {WIDEN - 1}, 24)), 's', CASE WHEN u.kind IN ('title', 'given') THEN '' ELSE concat({message(0)}, {message(1)}) END))"
     # what is drawn before check digits: cards keep the first digit, IBANs the country
-    card = f"concat(substring(x.d, 1, 1), {_drawn('substring(x.d, 2, length(x.d) - 2)', 'x.s', True)})"
-    iban = f"concat(substring(x.c, 1, 2), '00', {_drawn('substring(x.c, 5)', 'x.s')})"
-    lead = f"CASE x.kind WHEN 'phone' THEN regexp_extract(x.e, {_q(PHONE_LEAD)}, 0) WHEN 'secret' THEN regexp_extract(x.e, {_q(SECRET_LEAD)}, 0) ELSE '' END"
-    drawn = f"transform({given}, x -> named_struct('kind', x.kind, 'e', x.e, 'n', x.n, 's', x.s, 'h', x.h, 'hs', x.hs, 'lead', {lead}, 'f', CASE x.kind WHEN 'card' THEN {card} WHEN 'iban' THEN {iban} END))"
-    card = f"concat(x.f, CAST((10 - {_luhn('concat(x.f, ' + _q('0') + ')')} % 10) % 10 AS STRING))"
-    iban = f"concat(substring(x.f, 1, 2), lpad(CAST(98 - {_mod97('x.f')} AS STRING), 2, '0'), substring(x.f, 5))"
-    checked = f"transform({drawn}, x -> named_struct('kind', x.kind, 'e', x.e, 'n', x.n, 's', x.s, 'h', x.h, 'hs', x.hs, 'lead', x.lead, 'rest', substring(x.e, length(x.lead) + 1), 'f', CASE x.kind WHEN 'card' THEN {card} WHEN 'iban' THEN {iban} END))"
-    # the drawn characters in the entity's own layout
-    place = "length(regexp_replace(substring(x.e, 1, i), '[^0-9A-Z]', ''))"
-    layout = f"array_join(transform(sequence(1, length(x.e)), i -> CASE WHEN substring(x.e, i, 1) RLIKE '[0-9A-Z]' THEN substring(x.f, {place}, 1) ELSE substring(x.e, i, 1) END), '')"
-    top = "substring_index(x.h, '.', -1)"
-    email = f"concat({_drawn('substring_index(x.e, ' + _q('@') + ', 1)', 'x.s')}, '@', {_drawn(f'substring(x.h, 1, length(x.h) - length({top}))', 'x.hs')}, {top})"
-    ip = f"concat_ws('.', CAST(1 + {_byte('x.s', '1')} % 223 AS STRING), CAST({_byte('x.s', '2')} AS STRING), CAST({_byte('x.s', '3')} AS STRING), CAST({_byte('x.s', '4')} AS STRING))"
-    # names: forms of address stay, known given names are exchanged in their list, other parts are drawn
-    titles = "array(" + ", ".join(_q(t) for group in TITLES.values() for t in group) + ")"
-    parts = f"transform(split(x.e, ' '), p -> named_struct('p', p, 's', {_stream(key, 'name', 'concat(p, ' + _q('|') + ', CAST(x.n AS STRING))')}))"
-    name = f"array_join(transform({parts}, q -> CASE WHEN array_contains({titles}, replace(q.p, '.', '')) THEN q.p {_given(key, 'q.p')} ELSE {_drawn('q.p', 'q.s')} END), ' ')"
-    secret = f"concat(x.lead, {_drawn('x.rest', 'x.s', hexadecimal='x.e RLIKE ' + _q('^[0-9A-Fa-f]+$'))})"
-    numbers = f"concat(x.lead, {_drawn('x.rest', 'x.s', True)})"
-    return f"transform({checked}, x -> CASE x.kind WHEN 'email' THEN {email} WHEN 'phone' THEN {numbers} WHEN 'ssn' THEN {numbers} WHEN 'card' THEN {layout} WHEN 'iban' THEN {layout} WHEN 'ip' THEN {ip} WHEN 'name' THEN {name} WHEN 'secret' THEN {secret} ELSE x.e END)"
-
-
-def surrogate(key: str, attempt: str) -> Column:
-    """The surrogate of columns kind and e."""
-    return F.element_at(F.expr(surrogates(key, "array(named_struct('kind', kind, 'e', e))", attempt)), 1)
+    card = f"concat(substring(u.n, 1, 1), {_drawn('substring(u.n, 2, length(u.n) - 2)', 'u.s', True)})"
+    iban = f"concat(substring(u.n, 1, 2), '00', {_drawn('substring(u.n, 5)', 'u.s')})"
+    # what is drawn of the others, with what they grow by
+    more = "repeat(lower(substring(u.n, 1, 1)), u.wide)"
+    top = "substring_index(u.n, '.', -1)"
+    rest = f"""CASE u.kind WHEN 'local' THEN concat(substring_index(u.n, '@', 1), {more}) WHEN 'host' THEN concat({more}, substring(u.n, 1, length(u.n) - length({top})))
+      WHEN 'part' THEN concat(u.n, {more}) WHEN 'phone' THEN concat(substring_index(u.n, ' ', -1), repeat('0', u.wide)) WHEN 'secret' THEN substring(u.n, length(regexp_extract(u.n, {_q(SECRET_LEAD)}, 0)) + 1) ELSE u.n END"""
+    parted = f"transform({drawn}, u -> named_struct('kind', u.kind, 'n', u.n, 's', u.s, 'rest', {rest}, 'f', CASE u.kind WHEN 'card' THEN {card} WHEN 'iban' THEN {iban} END))"
+    card = f"concat(u.f, CAST((10 - {_luhn('concat(u.f, ' + _q('0') + ')')} % 10) % 10 AS STRING))"
+    iban = f"concat(substring(u.f, 1, 2), lpad(CAST(98 - {_mod97('u.f')} AS STRING), 2, '0'), substring(u.f, 5))"
+    ip = f"concat_ws('.', CAST(1 + {_byte('u.s', '1')} % 223 AS STRING), CAST({_byte('u.s', '2')} AS STRING), CAST({_byte('u.s', '3')} AS STRING), CAST({_byte('u.s', '4')} AS STRING))"
+    plain = _drawn("u.rest", "u.s", hexadecimal=f"(u.kind = 'ip6' OR (u.kind = 'secret' AND u.n RLIKE {_q('^[0-9A-Fa-f]+$')}))")
+    return f"""transform({parted}, u -> CASE u.kind WHEN 'title' THEN u.n WHEN 'given' THEN coalesce(kk.given[u.n], u.n) WHEN 'card' THEN {card} WHEN 'iban' THEN {iban} WHEN 'ip' THEN {ip}
+      ELSE concat(CASE u.kind WHEN 'phone' THEN concat(substring_index(u.n, ' ', 1), ' ') WHEN 'secret' THEN regexp_extract(u.n, {_q(SECRET_LEAD)}, 0) ELSE '' END, {plain},
+                  CASE u.kind WHEN 'local' THEN concat('@', substring_index(u.n, '@', -1)) WHEN 'host' THEN {top} ELSE '' END) END)"""
+
+
+def replacements(found: str, attempt: str) -> str:
+    """What replaces each of an array of mentions x (kind, e): the surrogates of its units in its own layout and case."""
+    made = f"transform({found}, x -> named_struct('kind', x.kind, 'e', x.e, 's', CASE WHEN x.kind IS NOT NULL THEN {surrogates(UNITS, attempt)} END))"
+    # s: the surrogate's characters that fill the layout, from place `from` of the mention on
+    filled = f"CASE x.kind WHEN 'email' THEN concat(substring_index(x.s[0], '@', 1), '@', x.s[1]) WHEN 'name' THEN array_join(x.s, ' ') WHEN 'phone' THEN substring_index(x.s[0], ' ', -1) ELSE x.s[0] END"
+    made = f"transform({made}, x -> named_struct('kind', x.kind, 'e', x.e, 'lead', CASE WHEN x.kind = 'phone' THEN {_LEAD} ELSE '' END, 's', {filled}))"
+    held = "substring(x.e, length(x.lead) + 1)"
+    place = f"length(regexp_replace(substring({held}, 1, i), '[^0-9A-Z+]', ''))"
+    layout = f"concat(x.lead, array_join(transform(sequence(1, length({held})), i -> CASE WHEN substring({held}, i, 1) RLIKE '[0-9A-Z+]' THEN substring(x.s, {place}, 1) ELSE substring({held}, i, 1) END), ''), substring(x.s, length(regexp_replace({held}, '[^0-9A-Z+]', '')) + 1))"
+    cased = "CASE WHEN x.e = lower(x.e) THEN x.s ELSE array_join(transform(sequence(1, length(x.s)), i -> CASE WHEN substring(x.e, i, 1) <> lower(substring(x.e, i, 1)) THEN upper(substring(x.s, i, 1)) ELSE substring(x.s, i, 1) END), '') END"
+    return f"transform({made}, x -> CASE WHEN x.kind IS NULL THEN x.e WHEN x.kind IN ('card', 'iban', 'ssn', 'phone') THEN {layout} WHEN x.kind IN ('email', 'ip6') THEN {cased} ELSE x.s END)"
 
 
 def pieces(text: Column) -> Column:
@@ -183,46 +236,63 @@ def matches(cut: Column) -> Column:
     return F.filter(cut, lambda x, i: i % 2 == 1)
 
 
-def redrawn(entities: DataFrame, key: str, space: Workspace, rounds: int = 50) -> DataFrame | None:
-    """entities (kind, e) -> those whose surrogate had to be drawn again: kind, e, attempt; None if there are none."""
-    now = space.save(entities.select("kind", "e", F.lit(0).alias("attempt"), surrogate(key, "0").alias("s")), "draw0")
-    norm = F.expr(normalised("kind", "e"))
-    for step in range(1, rounds):
-        # mentions of one entity that differ in layout share its draw, so entities are compared by what is normalised
-        taken = now.groupBy("s").agg(F.min(F.struct(F.col("attempt"), "kind", norm.alias("n"))).alias("first"), F.count_distinct(F.col("kind"), norm).alias("c"))
-        real = entities.select(F.col("e").alias("s")).distinct().withColumn("real", F.lit(True))
-        judged = now.join(taken, "s").join(real, "s", "left")
-        clash = ((F.col("c") > 1) & ((F.col("first.kind") != F.col("kind")) | (F.col("first.n") != norm))) | F.col("real").isNotNull()
-        bad = space.save(judged.where(clash).select("kind", norm.alias("n")).distinct(), f"bad{step}")
-        if not bad.limit(1).count():
-            break
-        again = now.withColumn("n", norm).join(bad.withColumn("bad", F.lit(1)), ["kind", "n"], "left")
-        again = again.select("kind", "e", (F.col("attempt") + F.coalesce("bad", F.lit(0))).alias("attempt"), F.col("bad").isNotNull().alias("b"), "s")
-        now = space.save(again.select("kind", "e", "attempt", F.when(F.col("b"), surrogate(key, "attempt")).otherwise(F.col("s")).alias("s")), f"draw{step}")
-    out = now.where("attempt > 0").select("kind", "e", "attempt")
-    return out if out.limit(1).count() else None
-
-
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, max_broadcast: int = 100_000) -> DataFrame:
+def redrawn(units: DataFrame, key: Column, space: Workspace, rounds: int = ROUNDS) -> DataFrame | None:
+    """units (kind, n), distinct -> those whose surrogate had to be drawn again: kind, n, attempt; None if there are none.
+
+    After the first draw of all only those that clash are drawn and compared again, with each other and with all that stay.
+    """
+    one = F.element_at(F.expr(surrogates("array(named_struct('kind', kind, 'n', n))", "attempt")), 1)
+    draw = lambda rows, step: rows.select("kind", "n", F.lit(step).alias("attempt"), key.alias("kk")).select("kind", "n", "attempt", one.alias("s"))
+    real = units.select("kind", F.col("n").alias("s"))
+
+    def clashing(now: DataFrame, *taken: DataFrame) -> DataFrame:
+        """(kind, n) of the rows of `now` whose surrogate a smaller unit of `now` shares, or that is in one of `taken`."""
+        first = now.groupBy("kind", "s").agg(F.min("n").alias("first"))
+        bad = now.join(first, ["kind", "s"]).where("n <> first").select("kind", "n")
+        for other in taken:
+            bad = bad.union(now.join(other.select("kind", "s"), ["kind", "s"], "left_semi").select("kind", "n"))
+        return bad.distinct()
+
+    now = space.save(draw(units, 0), "draw0")
+    bad = space.save(clashing(now, real), "bad0")
+    if not bad.limit(1).count():
+        return None
+    stays = space.save(now.join(bad, ["kind", "n"], "left_anti"), "stays")
+    taken, accepted = [real, stays], []
+    for step in range(1, rounds + 1):
+        now = space.save(draw(bad, step), f"draw{step}")
+        bad = space.save(clashing(now, *taken, *accepted), f"bad{step}")
+        accepted.append(space.save(now.join(bad, ["kind", "n"], "left_anti"), f"accepted{step}"))
+        left = bad.groupBy("kind").count().collect()
+        if not left:
+            out = accepted[0]
+            for more in accepted[1:]:
+                out = out.union(more)
+            return out.select("kind", "n", "attempt")
+    raise ValueError(f"no distinct surrogates after {rounds} draws: " + ", ".join(f"{r['count']} of kind {r['kind']}" for r in left))
+
+
+def pseudonymise(docs: DataFrame, key: str | bytes | None = None) -> DataFrame:
     """docs with `text` replaced, and two more columns: ``pii_types`` (the type of each replaced entity, in order) and ``n_pii``."""
-    space = Workspace(docs.sparkSession, "pii")
+    spark = docs.sparkSession
+    space, keyed = Workspace(spark, "pii"), _key_column(spark, secret_key(spark, key))
     typed = F.expr(f"transform(m, e -> named_struct('kind', {entity_type('e')}, 'e', e))")
     found = docs.withColumn("text", F.col("text").cast("string")).select(F.struct("*").alias("row")).withColumn("cut", pieces(F.col("row.text"))).withColumn("m", matches(F.col("cut")))
-    entities = found.where(F.size("m") > 0).select(F.explode(typed).alias("x")).select("x.*").where("kind IS NOT NULL").groupBy("kind", "e").agg(F.lit(1).alias("one")).select("kind", "e")
-    again = redrawn(space.save(entities, "entities"), key, space)
+    units = found.where(F.size("m") > 0).select(F.explode(typed).alias("x")).where("x.kind IS NOT NULL").select(F.explode(F.expr(UNITS)).alias("u")).select("u.*")
+    units = units.where("kind NOT IN ('title', 'given')").groupBy("kind", "n").agg(F.lit(1).alias("one")).select("kind", "n")
+    again = redrawn(space.save(units, "units"), keyed, space)
     state = found.withColumn("m", typed)
-    if again is None:
-        state = state.withColumn("draws", F.lit(None).cast("map<string,int>"))
-    else:  # only texts that hold one of the redrawn entities are looked up, by the text's digest
-        again = space.save(again, "redrawn")
-        digest = F.struct(F.xxhash64("row.text"), F.crc32("row.text"), F.length("row.text"))
-        state = state.withColumn("d", F.when(F.size("m") > 0, digest))
-        mention = state.where("d IS NOT NULL").select("d", F.explode("m").alias("x")).select("d", "x.kind", "x.e").distinct().join(again, ["kind", "e"])
-        draws = space.save(mention.groupBy("d").agg(F.map_from_entries(F.collect_list(F.struct("e", "attempt"))).alias("draws")), "draws")
-        state = state.join(F.broadcast(draws) if draws.limit(max_broadcast + 1).count() <= max_broadcast else draws, "d", "left")
-    new = surrogates(key, "m", "coalesce(draws[x.e], 0)")
-    state = state.withColumn("r", F.when(F.size("m") > 0, F.expr(new)))
-    put = F.concat_ws("", F.transform("cut", lambda x, i: F.when(i % 2 == 1, F.get("r", F.floor(i / 2).cast("int"))).otherwise(x)))
+    attempt = "0"
+    if again is not None:  # only texts that hold one of the redrawn units are looked up, by the text's digest
+        state = state.withColumn("d", F.struct(F.xxhash64("row.text"), F.crc32("row.text"), F.length("row.text")))
+        held = state.where(F.size("m") > 0).select("d", F.explode("m").alias("x")).where("x.kind IS NOT NULL").select("d", F.explode(F.expr(UNITS)).alias("u")).select("d", "u.kind", "u.n").distinct()
+        entry = F.struct(F.concat_ws("|", "kind", "n").alias("k"), "attempt")
+        draws = space.save(held.join(space.save(again, "again"), ["kind", "n"]).groupBy("d").agg(F.map_from_entries(F.collect_list(entry)).alias("draws")), "draws")
+        state = state.join(draws, "d", "left")
+        attempt = "coalesce(draws[concat(u.kind, '|', u.n)], 0)"
+    state = state.withColumn("kk", keyed).withColumn("r", F.when(F.size("m") > 0, F.expr(replacements("m", attempt))))
+    # zipped, not looked up by position: an expression that a lambda refers to may be evaluated for every element
+    put = F.array_join(F.zip_with(F.filter("cut", lambda x, i: i % 2 == 0), "r", lambda x, y: F.concat(x, F.coalesce(y, F.lit("")))), "")
     text = F.when(F.size("m") > 0, put).otherwise(F.col("row.text"))
     kinds = F.expr("coalesce(transform(filter(m, x -> x.kind IS NOT NULL), x -> x.kind), array())")
     columns = [text.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in ("pii_types", "n_pii")]
