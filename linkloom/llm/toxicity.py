@@ -1,17 +1,20 @@
 """Toxicity by maximum-scoring segments.
 
 Learning: every word and word beginning (3 to 8 letters, for inflected forms) that a bounded sample of labelled documents
-holds gets a log-odds with an informative Dirichlet prior; those that stand out by `Z_MIN` standard errors keep it as
-their score.  Any other word scores a small negative drift, so the expected score of a clean word is negative.
+holds gets a log-odds with an informative Dirichlet prior; those that stand out as toxic by `Z_MIN` standard errors or as
+clean by `Z_CLEAN` keep it as their score.  A word scores what its longest known feature says, any other word a small negative drift, so
+the expected score of a clean word is negative.
 
 Scoring: a linear scan finds all maximal scoring segments of the whole text.  A segment's score s in n words has, by
-extreme-value theory, the expected number K * n * exp(-lambda * s) of chance segments as good; lambda solves the
-moment equation on the clean words of the sample, K is fitted to the clean documents' best segments.  Segments whose
-expectation is below `E_MAX` are the toxic passages.  The best one's log expectation, with the number of passages,
-gives the document's score by a logistic fit on the sample.
+extreme-value theory, the expected number K * n * exp(-lambda * s) of chance segments as good; lambda and K are the
+maximum-likelihood fit to the best segments of the sample's clean documents (low scores count as censored, the `NOISE`
+share with the highest scores as wrongly labelled).  Segments whose expectation is below `E_MAX` are the
+toxic passages.  The best one's log expectation, with the number of passages, gives the document's score by a logistic
+fit on the sample.
 
 Near copies in the sample would make the random words of a copied document look toxic, so a cluster of documents with
-one minimum shingle hash counts once.
+one minimum shingle hash counts once.  The features that reach the driver are those that pass the tests, however many;
+they are a part of the vocabulary of at most `SAMPLE` documents.
 
 Defined results: a null or empty text scores as a text without any passage; without labelled rows, or with one label only,
 every score is the share of toxic rows; a null doc_id is never held out nor used for training; repeated rows and extra columns don't matter.
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +33,13 @@ from pyspark.sql import functions as F
 
 from .kernels import ALNUM_WORDS, SPACE_WORDS, WordCache, Words, mix, shingle_sets, slices, string_parts
 from .sampling import fold, labelled_sample
+from .storage import Workspace
 
-#: Labelled documents that training uses at most, and features a model keeps at most.
-SAMPLE, FEATURES = 16_000, 50_000
-Z_MIN, E_MAX, DRIFT, THRESHOLD = 3.0, 1e-3, 0.15, 0.7
-#: Weight of the prior, as a share of the documents.
-PRIOR = 0.1
+#: Labelled documents that training uses at most.
+SAMPLE = 16_000
+Z_MIN, Z_CLEAN, E_MAX, DRIFT, THRESHOLD = 3.0, 2.0, 1e-3, 0.15, 0.7
+#: Weight of the prior, as a share of the documents; clean documents taken as wrongly labelled; documents that a clean word needs.
+PRIOR, NOISE, COMMON = 0.1, 0.01, 20
 _PREFIX = range(3, 9)
 
 
@@ -52,11 +57,11 @@ class Model:
         self.slope: tuple[float, float, float] | None = None
 
     def word(self, word: bytes) -> float:
-        """The score of a word: that of its longest feature that has one, else the drift."""
+        """The score of a word: that of its longest known feature, else the drift."""
         for f in features(word.decode("utf-8", "replace")):
             got = self.weights.get(f)
             if got is not None:
-                return got if got > 0 else -DRIFT
+                return got
         return -DRIFT
 
     def log_expectation(self, score: float, n: int) -> float:
@@ -71,49 +76,47 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, a * math.log1p(evidence) + b * math.log1p(passages) + c))))
 
 
-def segments(at: list[int], scores: list[float], drift: float = DRIFT) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments of a sequence that has `scores` at the places `at` and -drift everywhere else.
+def segments(at: Sequence[int], before: Sequence[float], after: Sequence[float]) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments: start, end, score.
 
-    Ruzzo and Tompa's scan over the positive places; what lies between two of them is one negative step.
+    at: the places with a positive score; before, after: the sums of all scores up to each of them and with it.  Ruzzo
+    and Tompa's scan.  Each segment keeps a link to the last one before it whose left sum is smaller, the only one that
+    a search has to look at next, which makes the scan linear.
     """
-    stack: list[list] = []  # start, end, total before the segment, total at its end
-    total, last = 0.0, -1
-    for p, s in zip(at, scores):
-        total -= drift * (p - last - 1)
-        last = p
-        new = [p, p + 1, total, total + s]
-        total += s
+    start: list[int] = []
+    end: list[int] = []
+    left: list[float] = []
+    right: list[float] = []
+    link: list[int] = []
+    for p, lo, hi in zip(at, before, after):
+        first, j = p, len(start) - 1
         while True:
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or stack[j][3] >= new[3]:
+            while j >= 0 and left[j] >= lo:
+                j = link[j]
+            if j < 0 or right[j] >= hi:
                 break
-            new[0], new[2] = stack[j][0], stack[j][2]
-            del stack[j:]
-        stack.append(new)
-    return [(a, b, r - l) for a, b, l, r in stack]
-
-
-def _learn_weights(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
-    """counts: feature, toxic documents with it, clean documents with it."""
-    out = []
-    for f, t, c in counts:
-        prior = PRIOR * (t + c)
-        rest = PRIOR * (toxic + clean) - prior
-        odds = math.log((t + prior) / (toxic - t + rest + 1e-9)) - math.log((c + prior) / (clean - c + rest + 1e-9))
-        z = odds / math.sqrt(1 / (t + prior) + 1 / (c + prior))
-        out.append((z, f, odds, t + c))
-    strong = sorted((x for x in out if x[0] >= Z_MIN and x[2] > 1.0), reverse=True)[:FEATURES]
+            first, lo, back = start[j], left[j], link[j]
+            for line in (start, end, left, right, link):
+                del line[j:]
+            j = back
+        for line, value in ((start, first), (end, p + 1), (left, lo), (right, hi), (link, j)):
+            line.append(value)
+    return [(a, b, r - l) for a, b, l, r in zip(start, end, left, right)]
+
+
+def weighted(counts: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """counts (f, t, c: toxic and clean documents with the feature) -> f, w: the features that keep their log-odds as score."""
+    t, c, both = F.col("t"), F.col("c"), F.col("t") + F.col("c")
+    prior, whole = PRIOR * both, PRIOR * (toxic + clean)
+    odds = F.log((t + prior) / (toxic - t + whole - prior + 1e-9)) - F.log((c + prior) / (clean - c + whole - prior + 1e-9))
+    rows = counts.withColumn("w", odds).withColumn("z", F.col("w") / F.sqrt(1 / (t + prior) + 1 / (c + prior)))
+    strong = rows.where((F.col("z") >= Z_MIN) & (F.col("w") > 1)).select("f", "w")
+    clear = rows.where(F.col("z") <= -Z_CLEAN).select("f", "w")
     # a common clean word with a toxic beginning has to be known as clean
-    mild = sorted((x for x in out if x[0] < 0 and x[3] >= 20), key=lambda x: (x[0], x[1]))[:FEATURES]
-    return {f: w for _, f, w, _ in strong} | _clean_words(strong, mild)
-
-
-def _clean_words(strong: list, mild: list) -> dict[str, float]:
-    """The words among `mild` that have a beginning among `strong`."""
-    names = {f for _, f, _, _ in strong}
-    return {f: 0.0 for _, f, _, _ in mild if not f.endswith("-") and any(g in names for g in features(f)[1:])}
+    starts = F.array(*[F.when(F.length("f") > k, F.concat(F.substring("f", 1, k), F.lit("-"))) for k in _PREFIX])
+    mild = rows.where((F.col("z") < 0) & (F.col("z") > -Z_CLEAN) & (both >= COMMON) & ~F.col("f").endswith("-"))
+    mild = mild.select("f", "w", F.explode(starts).alias("start")).join(strong.select(F.col("f").alias("start")), "start", "left_semi").select("f", "w").distinct()
+    return strong.union(clear).union(mild)
 
 
 def _scan(model: Model, cache: WordCache, values: list, raw: np.ndarray, offs: np.ndarray):
@@ -127,11 +130,12 @@ def _scan(model: Model, cache: WordCache, values: list, raw: np.ndarray, offs: n
     number = cache.lookup(words, lowered, fill, values.clear)
     score = np.array(values)[number] if len(number) else np.zeros(0)
     hits = np.flatnonzero(score > 0)
+    sums = np.concatenate(([0.0], np.cumsum(score)))
     cuts = np.searchsorted(hits, words.first)
     for i in range(len(offs) - 1):
-        lo, hi = cuts[i], cuts[i + 1]
+        own = hits[cuts[i] : cuts[i + 1]]
         n = int(words.first[i + 1] - words.first[i])
-        found = segments((hits[lo:hi] - words.first[i]).tolist(), score[hits[lo:hi]].tolist()) if hi > lo else []
+        found = segments((own - words.first[i]).tolist(), sums[own].tolist(), sums[own + 1].tolist()) if len(own) else []
         yield n, found, words, int(words.first[i])
 
 
@@ -160,60 +164,69 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3
 
     rows = labelled_sample(docs, labels, label, folds, held_out, sample).select("doc_id", F.when(F.col("y") != 0, 1).otherwise(0).alias("y"), "text").where("text IS NOT NULL")
     rows = rows.mapInArrow(sign, "doc_id bigint, y int, text string, sig bigint").groupBy("sig", "y").agg(F.min_by("text", F.struct("doc_id", "text")).alias("text"))
-    rows = rows.select("y", "text").persist()
-    try:
-        n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-        toxic, clean = n.get(1, 0), n.get(0, 0)
-        if not toxic or not clean:
-            return Model({}, toxic / max(1, toxic + clean) if toxic + clean else 0.5)
-        counted = rows.mapInArrow(count, "f string, t bigint, c bigint").groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-        # features that can reach Z_MIN, or that many clean documents hold; of each kind a bounded number, the strongest first
-        lift = F.col("t") / toxic - F.col("c") / clean
-        good = counted.where((F.col("t") >= 2) & (lift > 0)).orderBy(F.desc(lift), "f").limit(FEATURES)
-        bad = counted.where((F.col("t") + F.col("c") >= 20) & (lift <= 0)).orderBy(F.desc("c"), "f").limit(FEATURES)
-        model = Model(_learn_weights([(r["f"], r["t"], r["c"]) for r in good.union(bad).collect()], toxic, clean), toxic / (toxic + clean))
-        shared = rows.sparkSession.sparkContext.broadcast(model)
-
-        def measure(batches):
-            model, cache, values = shared.value, WordCache(), []
-            for batch in batches:
-                ys = batch.column(0).to_pylist()
-                raw, offs = string_parts(batch.column(1))
-                out, k = {"y": [], "n": [], "hits": [], "best": [], "scores": []}, 0
-                for lo, hi in slices(offs):
-                    for n, found, words, first in _scan(model, cache, values, raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]):
-                        scores = sorted((s for _, _, s in found), reverse=True)
-                        for name, v in (("y", ys[k]), ("n", n), ("hits", sum(b - a for a, b, _ in found)), ("best", scores[0] if scores else 0.0), ("scores", scores)):
-                            out[name].append(v)
-                        k += 1
-                yield pa.RecordBatch.from_pydict({"y": pa.array(out["y"], pa.int32()), "n": pa.array(out["n"], pa.int64()), "hits": pa.array(out["hits"], pa.int64()), "best": pa.array(out["best"], pa.float64()), "scores": pa.array(out["scores"], pa.list_(pa.float64()))})
-
-        # numbers of at most `sample` documents
-        measured = rows.mapInArrow(measure, "y int, n bigint, hits bigint, best double, scores array<double>").collect()
-    finally:
-        rows.unpersist()
+    space = Workspace(docs.sparkSession, "toxicity")
+    rows = space.save(rows.select("y", "text"), "sample")
+    n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic, clean = n.get(1, 0), n.get(0, 0)
+    if not toxic or not clean:
+        return Model({}, toxic / max(1, toxic + clean) if toxic + clean else 0.5)
+    counted = space.save(rows.mapInArrow(count, "f string, t bigint, c bigint").groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), "counts")
+    model = Model({r["f"]: r["w"] for r in weighted(counted, toxic, clean).collect()}, toxic / (toxic + clean))
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def measure(batches):
+        model, cache, values = shared.value, WordCache(), []
+        for batch in batches:
+            ys = batch.column(0).to_pylist()
+            raw, offs = string_parts(batch.column(1))
+            out, k = {"y": [], "n": [], "best": [], "scores": []}, 0
+            for lo, hi in slices(offs):
+                for n, found, *_ in _scan(model, cache, values, raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]):
+                    scores = sorted((s for _, _, s in found), reverse=True)
+                    for name, v in (("y", ys[k]), ("n", n), ("best", scores[0] if scores else 0.0), ("scores", scores)):
+                        out[name].append(v)
+                    k += 1
+            yield pa.RecordBatch.from_pydict({"y": pa.array(out["y"], pa.int32()), "n": pa.array(out["n"], pa.int64()), "best": pa.array(out["best"], pa.float64()), "scores": pa.array(out["scores"], pa.list_(pa.float64()))})
+
+    # numbers of at most `sample` documents
+    measured = rows.mapInArrow(measure, "y int, n bigint, best double, scores array<double>").collect()
     _calibrate(model, [(r["y"], r["n"], r["best"], r["scores"]) for r in measured])
     return model
 
 
+def extreme_values(n: np.ndarray, best: np.ndarray) -> tuple[float, float]:
+    """The maximum-likelihood lambda and K of best scores in texts of n words, P(best <= s) = exp(-K * n * exp(-lambda * s)).
+
+    The law is one of the upper tail, so scores up to the median of the positive ones count as censored there.  For a
+    given lambda the best K is known in closed form.
+    """
+    n = np.maximum(n, 1).astype(float)
+    if not (best > 0).any():
+        return 1.0, 0.5 / max(n.sum(), 1.0)
+    cut = float(np.median(best[best > 0])) if (best > np.median(best[best > 0])).any() else 0.0
+    x, m, low_words = best[best > cut], n[best > cut], n[best <= cut].sum()
+
+    def constant(rate: float) -> float:
+        return len(x) / ((m * np.exp(-rate * x)).sum() + low_words * math.exp(-rate * cut))
+
+    def likelihood(rate: float) -> float:
+        k = constant(rate)
+        return float((np.log(k * m * rate) - rate * x - k * m * np.exp(-rate * x)).sum() - k * low_words * math.exp(-rate * cut))
+
+    low, high = math.log(1e-2 / x.mean()), math.log(1e2 / x.mean())
+    for _ in range(4):  # a grid, ever finer
+        grid = np.linspace(low, high, 41)
+        at = int(np.argmax([likelihood(math.exp(g)) for g in grid]))
+        low, high = grid[max(at - 1, 0)], grid[min(at + 1, 40)]
+    rate = math.exp((low + high) / 2)
+    return rate, constant(rate)
+
+
 def _calibrate(model: Model, measured: list) -> None:
     measured = sorted(measured)
-    clean = [(n, best) for y, n, best, _ in measured if not y]
-    words = sum(n for n, _ in clean)
-    # moment equation: the mean of exp(rate * score) over clean words is 1, with half a hit more than was seen
-    seen = [b for _, b in clean if b > 0]
-    typical = float(np.mean(seen)) if seen else float(np.mean(list(model.weights.values()) or [1.0]))
-    p = (len(seen) + 0.5) / (words + 1)
-    lo, hi = 1e-6, 50.0 / max(typical, 1e-6)
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        value = math.log(p) + mid * typical
-        value = np.logaddexp(value, math.log1p(-p) - mid * DRIFT)
-        lo, hi = (mid, hi) if value < 0 else (lo, mid)
-    model.rate = lo
-    # constant: expected chance segments meet the seen ones
-    total = sum(math.exp(-model.rate * b) * n for n, b in clean if b > 0)
-    model.constant = float(np.clip((len(seen) + 0.5) / max(sum(n * math.exp(-model.rate * typical) for n, _ in clean), 1e-9), 1e-6, 10.0)) if total or words else 1.0
+    clean = sorted((best, n) for y, n, best, _ in measured if not y)
+    clean = np.array(clean[: max(1, len(clean) - int(NOISE * len(clean)))], float)
+    model.rate, model.constant = extreme_values(clean[:, 1], clean[:, 0])
     x, y = [], []
     for label, n, best, scores in measured:
         passages = sum(model.log_expectation(s, n) < math.log(E_MAX) for s in scores)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -160,10 +161,30 @@ def test_segments_are_all_maximal_ones():
         n = rng.randint(1, 25)
         at = sorted(rng.sample(range(n), rng.randint(0, n // 2)))
         scores = [rng.uniform(0.2, 3) for _ in at]
-        got = [(a, b, round(s, 6)) for a, b, s in toxicity.segments(at, scores, 0.7)]
+        line = np.full(n, -0.7)
+        line[at] = scores
+        sums = np.concatenate(([0.0], np.cumsum(line)))
+        got = [(a, b, round(s, 6)) for a, b, s in toxicity.segments(at, sums[at], sums[np.array(at, int) + 1])]
         assert got == _best(at, scores, n, 0.7)
 
 
+def test_segments_are_linear():
+    n = 1_000_000
+    for gap in (0.7, 1.5):  # one growing segment, or a million short ones
+        sums = np.cumsum(np.tile([1.0, -gap], n))
+        began = time.time()
+        found = toxicity.segments(range(0, 2 * n, 2), (sums[::2] - 1.0).tolist(), sums[::2].tolist())
+        assert len(found) == (1 if gap < 1 else n) and time.time() - began < 20
+
+
+def test_extreme_value_fit_finds_the_parameters():
+    rng = np.random.default_rng(3)
+    n = rng.integers(20, 2000, 20_000)
+    best = (np.log(0.02 * n) - np.log(rng.exponential(size=len(n)))) / 1.3  # Gumbel
+    rate, constant = toxicity.extreme_values(n, np.maximum(best, 0))
+    assert abs(rate - 1.3) < 0.05 and abs(constant / 0.02 - 1) < 0.15
+
+
 def _labelled(spark):
     rng = random.Random(4)
     docs, labels = [], []
