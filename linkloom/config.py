@@ -53,13 +53,19 @@ def _number(name: str, low: int, high: int, default: int) -> int:
 class EngineConfig:
     """Settings of a run; values out of range fall back to the defaults."""
 
-    max_threads: int = 1
-    max_wat_files: int = 1
+    max_threads: int = 1  # of a local session that `session` makes
+    max_wat_files: int = 1  # that a run of a segment imports
     data_path: str = "data"
 
     @classmethod
     def from_env(cls) -> EngineConfig:
         return cls(_number("LINKLOOM_THREADS", 1, 16, 1), _number("LINKLOOM_WAT_FILES", 1, 100_000, 1), os.environ.get("LINKLOOM_DATA") or "data")
 
+    def session(self):
+        """The running Spark session, or a local one with `max_threads` threads."""
+        from pyspark.sql import SparkSession
+
+        return SparkSession.getActiveSession() or SparkSession.builder.master(f"local[{self.max_threads}]").getOrCreate()
+
     def folders(self) -> dict[str, str]:
         return {name: f"{self.data_path}/{name}" for name in ("tmp", "links", "pages", "store", "log")}

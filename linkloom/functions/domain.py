@@ -1,7 +1,7 @@
 """Registrable domains by the public suffix rules.
 
 The rules are literals of the plan, and a host is tested against them inside its own row: no join, no shuffle and no
-Python.  The rule file is a parameter, since the list changes; without a file a short list of common suffixes is used.
+Python.  The rule file is a parameter, since the list changes; a file that is absent is an error, not another result.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 RULE_FILE = os.environ.get("LINKLOOM_SUFFIX_RULES", "/usr/share/publicsuffix/public_suffix_list.dat")
-# Suffixes that are used where there is no rule file.
+# Suffixes that are used if the rule file is set to `common`.
 COMMON = tuple("com net org edu gov info biz io co me tv de fr es it nl pl ru eu uk co.uk org.uk ac.uk jp co.jp ne.jp com.au com.br com.tr com.tw co.in co.nz co.kr cn com.cn blogspot.com".split())
 
 
@@ -34,28 +34,26 @@ class SuffixRules:
 @lru_cache(maxsize=8)
 def load_rules(path: str | None = None) -> SuffixRules:
     path = path or RULE_FILE
-    if not os.path.exists(path):
+    if path == "common":
         return SuffixRules(COMMON)
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"no public suffix list at {path}: set LINKLOOM_SUFFIX_RULES to one, or to `common` for a short list")
     with open(path, encoding="utf-8") as f:
         return SuffixRules.parse(f.read())
 
 
-def _by_labels(names: tuple[str, ...], when: str, then: int) -> str:
-    """WHEN branches that test the last k labels of a host against the names of k labels, longest first."""
-    out = ""
-    for k in sorted({n.count(".") + 1 for n in names}, reverse=True):
-        quoted = ", ".join("'" + n.replace("'", "''") + "'" for n in names if n.count(".") + 1 == k)
-        out += f" WHEN {when.format(k=k)} AND substring_index({{host}}, '.', -{k}) IN ({quoted}) THEN {k + then}"
-    return out
+def _among(tail: str, names: tuple[str, ...]) -> str:
+    return f"{tail} IN ({', '.join(repr(n) for n in names)})" if names else "false"
 
 
 @lru_cache(maxsize=8)
 def _suffix_length(rules: SuffixRules) -> str:
-    """The number of labels of a host's public suffix; {host} and {n}, its number of labels, are put in."""
-    case = lambda branches: f"coalesce(CASE{branches} END, 1)" if branches else "1"
-    longest = f"greatest({case(_by_labels(rules.plain, '{{n}} >= {k}', 0))}, {case(_by_labels(rules.wildcard, '{{n}} > {k}', 1))})"
-    other = _by_labels(rules.exception, "{{n}} >= {k}", -1)
-    return f"CASE{other} ELSE {longest} END" if other else longest
+    """The number of labels of a host's public suffix; {host} and {n}, its number of labels, are put in.  Each rule stands in it once."""
+    tail = "substring_index({host}, '.', -k)"
+    most = lambda names, more: "coalesce(array_max(filter(sequence(1, {n}), k -> " + _among(tail, names) + f")), {1 - more}) + {more}"
+    other = "array_max(filter(sequence(1, {n}), k -> " + _among(tail, rules.exception) + ")) - 1"
+    wild = most(rules.wildcard, 1).replace("sequence(1, {n})", "slice(sequence(1, {n}), 1, {n} - 1)")
+    return f"coalesce({other}, greatest({most(rules.plain, 0)}, {wild}))"
 
 
 def registrable_domain_sql(host: str, rules: SuffixRules | None = None) -> str:
@@ -65,7 +63,8 @@ def registrable_domain_sql(host: str, rules: SuffixRules | None = None) -> str:
     """
     n = f"(length({host}) - length(replace({host}, '.', '')) + 1)"
     suffix = _suffix_length(rules or load_rules()).replace("{host}", host).replace("{n}", n)
-    return f"CASE WHEN {host} <> '' AND NOT {host} RLIKE '^[.]|[.][.]|[.]$' AND {n} > ({suffix}) THEN substring_index({host}, '.', -(({suffix}) + 1)) END"
+    cut = f"transform(array({suffix}), s -> CASE WHEN {n} > s THEN substring_index({host}, '.', -(s + 1)) END)[0]"
+    return f"CASE WHEN {host} <> '' AND NOT {host} RLIKE '^[.]|[.][.]|[.]$' THEN {cut} END"
 
 
 def registrable_domain(host: str, rules: SuffixRules | None = None) -> Column:

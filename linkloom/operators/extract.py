@@ -31,8 +31,8 @@ def with_address(rows: DataFrame, url: str, out: str, rules: SuffixRules | None
     return rows.withColumn(out, F.get(F.transform(out, lambda x: F.struct(x["u"].alias("u"), x["domain"].alias("domain"), good(x).alias("good"))), F.lit(0)))
 
 
-def parse_pages(records: DataFrame, rules: SuffixRules | None = None) -> DataFrame:
-    """records (wat_file, pos, uri, json) -> a row for each page that passes all page tests and keeps a link.
+def judged_pages(records: DataFrame, rules: SuffixRules | None = None) -> DataFrame:
+    """records (wat_file, pos, uri, json) -> a row for each page that passes the page tests, with `links`, each with its outcome.
 
     The tests on the address come before the JSON is parsed.  A page without a valid date is dropped.
     """
@@ -46,7 +46,12 @@ def parse_pages(records: DataFrame, rules: SuffixRules | None = None) -> DataFra
     page = page.withColumn("links", F.transform("html.Links", lambda x: F.struct(x.alias("x"), F.when(x["url"].startswith("http") | x["url"].startswith("//"), url_record(x["url"])).alias("u"))))
     page = page.withColumn("links", F.expr(f"transform(links, l -> struct(l.x AS x, l.u AS u, {registrable_domain_sql('l.u.host', rules)} AS domain))"))
     judge = lambda l: link_outcome(l["x"]["path"], l["x"]["url"], l["u"], l["domain"], F.col("u.host"), F.col("domain"))
-    page = page.withColumn("links", F.transform("links", lambda l: F.struct(l["x"].alias("x"), l["u"].alias("u"), l["domain"].alias("domain"), judge(l).alias("outcome"))))
+    return page.withColumn("links", F.transform("links", lambda l: F.struct(l["x"].alias("x"), l["u"].alias("u"), l["domain"].alias("domain"), judge(l).alias("outcome"))))
+
+
+def parse_pages(records: DataFrame, rules: SuffixRules | None = None) -> DataFrame:
+    """The judged pages that keep a link, with their counters and `kept`, the links that stay."""
+    page = judged_pages(records, rules)
     count = lambda what: F.size(F.filter("links", lambda l: raises(l["outcome"], what)))
     page = page.withColumns({"internal_links": count("internal"), "external_links": count("external")})
     page = page.withColumn("kept", F.expr("filter(transform(links, (l, i) -> struct(i AS idx, l.x AS x, l.u AS u, l.domain AS domain, l.outcome AS outcome)), l -> l.outcome = 'keep')")).where(F.size("kept") > 0)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import re
+import threading
+import uuid
 from dataclasses import dataclass, field
 from urllib.parse import urlsplit
 
@@ -15,6 +17,8 @@ from ..functions.domain import SuffixRules, load_rules
 from ..functions.url import display_url
 
 LIMIT, OVERFETCH = 100, 3
+#: Seconds that a lookup may take.
+TIMEOUT = 60.0
 DEFAULT_ORDER = ("linkdomain", "linkpath", "linkrawquery", "pagehost", "pagepath", "pagerawquery", "datefrom", "dateto")
 SORTS = {"linkUrl": DEFAULT_ORDER[:3], "pageUrl": DEFAULT_ORDER[3:6], "linkText": ("linktext",), "dateFrom": ("datefrom",), "dateTo": ("dateto",)}
 #: Order among rows that agree on the keys, so that pages are repeatable.
@@ -164,10 +168,33 @@ def backlinks(store: DataFrame, q: LinkQuery, as_coded: bool = False, rules: Suf
     return merge(fetch(store, q.checked(), rules), q.checked(), as_coded)
 
 
-def answer(store: DataFrame, body: str) -> tuple[int, str]:
+def collected(rows: DataFrame, seconds: float = TIMEOUT) -> list:
+    """The rows, or BadLookup if that takes longer: the jobs are cancelled then."""
+    context, tag, late = rows.sparkSession.sparkContext, f"lookup-{uuid.uuid4().hex}", threading.Event()
+
+    def cancel() -> None:
+        late.set()
+        context.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(seconds, cancel)
+    context.addJobTag(tag)
+    timer.start()
+    try:
+        return rows.collect()
+    except Exception as e:
+        if late.is_set():
+            raise BadLookup(500, "ErrorFailedLinks", f"the lookup took more than {seconds} s") from e
+        raise
+    finally:
+        timer.cancel()
+        context.removeJobTag(tag)
+
+
+def answer(store: DataFrame, body: str, seconds: float = TIMEOUT) -> tuple[int, str]:
     """An HTTP status and a JSON body for a request's JSON; at most a page of results reaches the driver."""
     try:
-        rows = backlinks(store, LinkQuery.parse(body)).drop("run").toJSON().collect()
-        return 200, "[" + ",".join(rows) + "]"
+        found = backlinks(store, LinkQuery.parse(body)).drop("run")
+        rows = collected(found.select(F.to_json(F.struct(*found.columns)).alias("j")), seconds)
+        return 200, "[" + ",".join(r["j"] for r in rows) + "]"
     except BadLookup as e:
         return e.status, json.dumps({"error_code": e.code, "function": "lookup", "error": e.reason})

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..config import IGNORED_DOMAINS, IGNORED_ENDINGS, IGNORED_EXTENSIONS, MAX_QUERY_BYTES
 from ..functions.url import path_extension
 
-_BAD_HOST = r"""[%\[\]=':*()<>!&+,}{$";]"""
-_DOTTED_QUAD = r"^(?:(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)\.){3}(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)\z"
+# The marks that no host has, and the patterns of IPv4 addresses (no leading zeros) and domains.
+_BAD_HOST = r"""[%\[\]=':*()<>!&+,}{$";`]"""
+_DOTTED_QUAD = r"^(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]\d|\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]\d|\d)\z"
 _DOMAIN = r"(?i)^(?:[a-z0-9](?:[a-z0-9\-]{0,61}[a-z0-9])?\.)+[a-z]{2,}\z"
 
 #: What becomes of a link, in the order of the tests, and the page counter that it raises.

@@ -16,11 +16,11 @@ class Limiter:
 
     limit: int
     window_us: int
-    first: int = -1
+    first: int | None = None
     count: int = 0
 
     def refuses(self, at: int) -> bool:
-        if self.first < 0 or at - self.first > self.window_us:
+        if self.first is None or at - self.first > self.window_us:
             self.first, self.count = at, 0
         self.count += 1
         return self.count > self.limit

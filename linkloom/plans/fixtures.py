@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import LINK14
 
+_own: dict[str, str] = {}
 LINK14_SQL = """
 SELECT 'd' || CAST(p % 40 AS STRING) || CASE p % 4 WHEN 0 THEN '.com' WHEN 1 THEN '.co.uk' WHEN 2 THEN '.net' ELSE '.org' END AS linkdomain,
        CASE n % 3 WHEN 0 THEN 'www' WHEN 1 THEN '' ELSE 'blog' END AS linksubdomain,
@@ -35,7 +39,7 @@ JOIN pages t ON t.page_id = (p.page_id * 7 + k.k * 13 + 1) % (SELECT count(*) FR
 """
 
 # Cases for the string tests.
-HOSTS = ("example.com", "localhost", "192.168.0.1", "example.com%", "a.b.co.uk", "x:8080", "foo.bar:80", "1.2.3", "256.1.1.1", "sub.example.org", "with space.com", "quote'.com", "under_score.com", "")
+HOSTS = ("example.com", "localhost", "192.168.0.1", "example.com%", "a.b.co.uk", "x:8080", "foo.bar:80", "1.2.3", "256.1.1.1", "sub.example.org", "with space.com", "quote'.com", "under_score.com", "", "01.02.03.004", "1.2.3.4", "0.0.0.0", "10.20.30.256", "1.2.3.4.5", "tick`.com", "199.99.9.249")
 DOMAINS = ("example.com", "Example.COM", "localhost", "-bad.com", "bad-.com", "a.b.c.museum", "xn--bcher-kva.de", "a.xn--p1ai", "under_score.com", "1.2.3.4", "x.c", "")
 ENDINGS = ("example.cn", "site.cn", "domain.com.cn", "website.com", "info.co.uk", "me.blogspot.com", "blogspot.com", "EXAMPLE.CN", "cn")
 QUERIES = ("lang=en", "utm_source=google", "ref=123", "page=1", "category=books", "a|b", "x" * 200, "x" * 201, "é" * 101, "", "preflang=1")
@@ -81,20 +85,13 @@ def as_line(columns=LINK14) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/linkloom-scratch"
-    return f"{where.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def wat_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WAT records made of pages and edges: value, a record without its separator."""
-    link = F.struct(F.lit("A@/href").alias("path"), F.col("link_url").alias("url"), F.col("link_text").alias("text"), F.col("rel"))
-    made = edges(spark, sf_dir).withColumn("link_url", F.concat(F.lit("https://www.site"), F.col("page_id") % 7, F.lit(".org/a/"), F.col("pos"))).groupBy("page_id", "page_url").agg(F.array_sort(F.collect_list(link)).alias("Links"))
-    html = F.struct(F.struct("Links", F.struct(F.concat(F.lit("Page | "), F.col("page_id")).alias("Title")).alias("Head")).alias("HTML-Metadata"))
-    body = F.struct(F.struct(F.struct(F.lit("10.0.0.1").alias("WARC-IP-Address"), F.lit("2021-01-15T13:41:01Z").alias("WARC-Date")).alias("WARC-Header-Metadata"), F.struct(html.alias("HTTP-Response-Metadata")).alias("Payload-Metadata")).alias("Envelope"))
-    return made.select(F.concat(F.lit("WARC/1.0\r\nWARC-Type: metadata\r\nWARC-Target-URI: "), F.col("page_url"), F.lit("\r\nContent-Type: application/json\r\n\r\n"), F.to_json(body), F.lit("\r\n")).alias("value"))
-
-
-def write_wat(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch(spark, "wat")
-    wat_text(spark, sf_dir).write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
-    return path
+    app = spark.sparkContext.applicationId
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="linkloom-")
+            atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
+        where = _own[app]
+    return f"{where.rstrip('/')}/{app}/{name}-{uuid.uuid4().hex[:12]}"

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -13,27 +11,13 @@ from ..functions import robots, url
 from ..functions.domain import registrable_domain
 from ..operators import catalog, compact, extract, lookup, predicates, ratelimit
 from ..schemas import COMPACT16, LINK14
-from ..sources.readers import loadable, parse_lines, read_wat
+from ..sources.readers import loadable, parse_lines
 from ..sources.writers import as_lines
-from ..streaming.ingest import start_ingest
 from .fixtures import (
-    ARCHIVES, CANONICAL, DOMAINS, DONE, EDGES_SQL, ENDINGS, EVENTS, HOSTS, LINK14_SQL, MANIFEST, METAS, PATHS, QUERIES, STAMPS, as_line, edges, links14, literal, scratch, table, values, write_wat,
+    ARCHIVES, CANONICAL, DOMAINS, DONE, EDGES_SQL, ENDINGS, EVENTS, HOSTS, LINK14_SQL, MANIFEST, METAS, PATHS, QUERIES, STAMPS, as_line, edges, links14, literal, scratch, table, values,
 )
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERY: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f: Query) -> Query:
-        QUERY[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return add
-
+from .registry import QUERY, SQL, Query, query
+from .wat_fixture import BAD_HOST, OCTET
 
 # --- pieces of the DuckDB side -------------------------------------------------------------------------------------
 _URL = r"'^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$'"
@@ -60,11 +44,18 @@ def _sub(host: str, domain: str) -> str:
 
 _LINKS = f"links AS ({LINK14_SQL})"
 _EDGES = f"edges AS ({EDGES_SQL})"
-_RUNS = f"""{_LINKS}, dist AS (SELECT DISTINCT * FROM links), lined AS (SELECT *, {as_line()} AS line FROM dist),
+def _runs_of(source: str) -> str:
+    return f"""dist AS (SELECT DISTINCT * FROM {source}), lined AS (SELECT *, {as_line()} AS line FROM dist),
 chg AS (SELECT *, CASE WHEN lag(pagehost) OVER w = pagehost THEN 0 ELSE 1 END AS c FROM lined WINDOW w AS (PARTITION BY linkdomain, linksubdomain, linkpath, linkrawquery ORDER BY line)),
 runs AS (SELECT *, CAST(sum(c) OVER (PARTITION BY linkdomain, linksubdomain, linkpath, linkrawquery ORDER BY line ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM chg)"""
+
+
+_RUNS = f"{_LINKS}, {_runs_of('links')}"
 _BOTH = "strlen(b.p) < strlen(a.p) AND strlen(b.q) <= strlen(a.q)"
-_COMPACT = f"""{_RUNS},
+
+
+def _compact_of(source: str) -> str:
+    return f"""{_runs_of(source)},
 arr AS (SELECT linkdomain, linksubdomain, linkpath, linkrawquery, pagehost, run, max(line) AS last_line,
         list({{'scheme': linkscheme, 'p': pagepath, 'q': pagerawquery, 'ps': pagescheme, 'text': linktext, 'nf': nofollow, 'ni': noindex, 'd': imported, 'ip': ip}} ORDER BY line) AS r FROM runs GROUP BY ALL),
 kept AS (SELECT *, r[1] AS f, list_filter(r, lambda x: r[1].nf = 1 OR x.nf = 0) AS k FROM arr),
@@ -74,6 +65,9 @@ fold AS (SELECT *, list_reduce(list_transform(k, lambda x: {{'p': x.p, 'q': x.q,
    'n': a.n + CASE WHEN a.p = b.p AND a.q = b.q THEN 0 ELSE 1 END}}) AS best FROM kept),
 compact AS (SELECT linkdomain, linksubdomain, linkpath, linkrawquery, f.scheme AS linkscheme, pagehost, best.p AS pagepath, best.q AS pagerawquery, f.ps AS pagescheme, f.text AS linktext, f.nf AS nofollow, f.ni AS noindex,
    list_min(list_transform(k, lambda x: x.d)) AS datefrom, list_max(list_transform(k, lambda x: x.d)) AS dateto, k[-1].ip AS ip, best.n AS qty, last_line FROM fold)"""
+
+
+_COMPACT = f"{_LINKS}, {_compact_of('links')}"
 _C16 = ", ".join(COMPACT16)
 
 
@@ -148,10 +142,7 @@ def _(spark, sf_dir):
 
 
 # --- tests -----------------------------------------------------------------------------------------------------------
-_OCTET = "(25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)"
-
-
-@query("valid_host", f"SELECT h, NOT regexp_matches(h, '[%\\[\\]='':*()<>!&+,}}{{$\";]') AND NOT regexp_matches(h, '^{_OCTET}\\.{_OCTET}\\.{_OCTET}\\.{_OCTET}$') AND contains(h, '.') AS ok FROM {values(HOSTS, 'h')}")
+@query("valid_host", f"SELECT h, NOT regexp_matches(h, '{BAD_HOST}') AND NOT regexp_matches(h, '^{OCTET}\\.{OCTET}\\.{OCTET}\\.{OCTET}$') AND contains(h, '.') AS ok FROM {values(HOSTS, 'h')}")
 def _(spark, sf_dir):
     return literal(spark, HOSTS, "h string").withColumn("ok", predicates.is_host(F.col("h")))
 
@@ -285,8 +276,8 @@ def _(spark, sf_dir):
 # --- compaction ------------------------------------------------------------------------------------------------------
 @query("links_sorted", f"WITH {_LINKS}, dist AS (SELECT DISTINCT * FROM links) SELECT linkdomain, linksubdomain, linkpath, {as_line()} AS line, row_number() OVER (PARTITION BY linkdomain ORDER BY linksubdomain, linkpath, {as_line()}) AS rn FROM dist")
 def _(spark, sf_dir):
-    rows = compact.sorted_links(_links(spark, sf_dir)).withColumn("line", compact.link_line())
-    order = Window.partitionBy("linkdomain").orderBy("linksubdomain", "linkpath", "line")
+    rows = compact.sorted_links(_links(spark, sf_dir)).withColumn("line", compact.link_line()).withColumn("at", F.monotonically_increasing_id())
+    order = Window.partitionBy("linkdomain").orderBy("at")  # the place in the sorted output itself
     return rows.select("linkdomain", "linksubdomain", "linkpath", "line", F.row_number().over(order).cast("bigint").alias("rn"))
 
 
@@ -406,10 +397,11 @@ def _segments(spark):
     return catalog.segment_state(found, literal(spark, EVENTS, "segment string, event string, at int"))
 
 
-@query("manifest_segments", f"WITH {_FILES} SELECT archive, segment, segment_id, count(*) AS n_files, string_agg(number, ',' ORDER BY number) AS numbers FROM files GROUP BY ALL")
+@query("manifest_segments", f"WITH {_FILES} SELECT *, row_number() OVER (ORDER BY segment_id) AS rn FROM (SELECT archive, segment, segment_id, count(*) AS n_files, string_agg(number, ',' ORDER BY number) AS numbers FROM files GROUP BY ALL)")
 def _(spark, sf_dir):
-    found = catalog.segments(catalog.manifest(literal(spark, MANIFEST, "value string")))
-    return found.select("archive", "segment", "segment_id", F.size("wat_files").cast("bigint").alias("n_files"), F.concat_ws(",", "wat_files.number").alias("numbers"))
+    found = catalog.segments(catalog.manifest(literal(spark, MANIFEST, "value string"))).withColumn("at", F.monotonically_increasing_id())
+    found = found.withColumn("rn", F.row_number().over(Window.orderBy("at")).cast("bigint"))
+    return found.select("rn", "archive", "segment", "segment_id", F.size("wat_files").cast("bigint").alias("n_files"), F.concat_ws(",", "wat_files.number").alias("numbers"))
 
 
 @query("next_segment", f"WITH {_FILES}, {_STATE} SELECT DISTINCT segment, segment_id, import_started FROM files LEFT JOIN state USING (segment) WHERE import_ended IS NULL ORDER BY segment_id LIMIT 1")
@@ -444,26 +436,12 @@ def _(spark, sf_dir):
     return ratelimit.limited_requests(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", _LIMIT, _SECONDS)
 
 
-@query("wat_scan")
-def _(spark, sf_dir):
-    return read_wat(spark, write_wat(spark, sf_dir)).drop("json")
-
-
-@query("wat_extract")
-def _(spark, sf_dir):
-    return extract.extract(read_wat(spark, write_wat(spark, sf_dir)))[1].drop("wat_file")
-
-
-@query("stream_ingest")
-def _(spark, sf_dir):
-    source, links, state = write_wat(spark, sf_dir), scratch(spark, "links"), scratch(spark, "state")
-    start_ingest(spark, source, links, state).awaitTermination()
-    return spark.read.parquet(links).drop("batch", "wat_file")
-
-
 def queries() -> dict[str, Query]:
+    from . import more_queries  # noqa: F401  registers its queries
+
     return dict(QUERY)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from .readers import loadable
 
 
-def as_lines(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    return rows.select(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]).alias("value"))
+def as_lines(rows: DataFrame, names: tuple[str, ...], *more: str) -> DataFrame:
+    """value: the named fields as a line; and the columns `more` as they are."""
+    return rows.select(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]).alias("value"), *more)
 
 
 def write_lines(rows: DataFrame, names: tuple[str, ...], path: str, mode: str = "overwrite") -> None:

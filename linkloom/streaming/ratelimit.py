@@ -12,7 +12,7 @@ def limited_stream(events: DataFrame, key: str, at: str, limit: int = 50, window
     """A stream of events -> the same requests with `limited`: key, at, limited."""
 
     def run(name, frames, state):
-        limiter = Limiter(limit, window_seconds * 1_000_000, *(state.get if state.exists else (-1, 0)))
+        limiter = Limiter(limit, window_seconds * 1_000_000, *(state.get if state.exists else (None, 0)))
         rows = pd.concat(list(frames)).sort_values(at)
         micros = pd.to_datetime(rows[at]).astype("datetime64[us]").astype("int64")
         limited = [limiter.refuses(int(t)) for t in micros]

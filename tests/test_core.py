@@ -12,7 +12,7 @@ from linkloom.functions.domain import SuffixRules, registrable_domain
 from linkloom.operators import catalog, compact, extract, lookup
 from linkloom.operators.ratelimit import Limiter
 from linkloom.plans import queries as core
-from linkloom.plans.fixtures import write_wat
+from linkloom.plans.wat_fixture import write_wat
 from linkloom.schemas import LINK14
 from linkloom.sources.download import download
 from linkloom.sources.readers import parse_lines, read_wat
