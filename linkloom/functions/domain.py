@@ -7,6 +7,7 @@ Python.  The rule file is a parameter, since the list changes; a file that is ab
 from __future__ import annotations
 
 import os
+import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -42,8 +43,29 @@ def load_rules(path: str | None = None) -> SuffixRules:
         return SuffixRules.parse(f.read())
 
 
+#: Lists of names longer than this are tested through hash buckets.
+FEW = 200
+
+
+@lru_cache(maxsize=8)
+def _buckets(names: tuple[str, ...]) -> tuple[str, int]:
+    """An array of hash buckets, each a string ",a,b,", as SQL, and their number.
+
+    The array is folded into one constant; a list of as many literals would be walked through by every rule of the optimizer.
+    """
+    n = 1 << len(names).bit_length()
+    held: list[list[str]] = [[] for _ in range(n)]
+    for name in dict.fromkeys(names):
+        held[zlib.crc32(name.encode()) % n].append(name)
+    text = ";".join("," + ",".join(x) + "," for x in held)
+    return f"split('{text}', ';')", n
+
+
 def _among(tail: str, names: tuple[str, ...]) -> str:
-    return f"{tail} IN ({', '.join(repr(n) for n in names)})" if names else "false"
+    if len(names) <= FEW:
+        return f"{tail} IN ({', '.join(repr(n) for n in names)})" if names else "false"
+    buckets, n = _buckets(names)
+    return f"contains({buckets}[CAST(crc32(CAST({tail} AS BINARY)) % {n} AS INT)], concat(',', {tail}, ','))"
 
 
 @lru_cache(maxsize=8)
