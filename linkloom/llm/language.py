@@ -1,9 +1,11 @@
 """Language identification: averaged hashed subword embeddings and a linear softmax.
 
 Each text is the mean of the embeddings of its hashed character n-grams (2 to 5 bytes inside a word and its borders);
-a linear layer and softmax give the languages.  Both are trained by stochastic gradient descent in numpy on a sample of
-labelled documents of bounded size.  A tenth of the sample is kept back to fit the softmax temperature, and to place the
-rejection threshold: the confidence that all but `reject` of them reach.
+a linear layer and softmax give the languages, of which there may be any number.  Both are trained by stochastic gradient
+descent in numpy on a sample of `PER_LANG` labelled documents of each language at most; of a text longer than `WHOLE` bytes
+the driver gets only its bag of n-grams, which has a bounded size.  A tenth of the sample is kept back to fit the softmax
+temperature, and to place the rejection threshold: the confidence that all but `reject` of those it tells rightly reach.
+Texts are read in windows, so neither a long text nor many languages need more memory.
 
 Defined results: a text that is null or has no letter is `und` with score 0 and is rejected; without any labelled row
 every text is `und`; a null doc_id is never held out nor used for training; ties go to the language first in
@@ -23,8 +25,10 @@ from .storage import small_batches
 
 BUCKETS = 1 << 15
 DIM = 16
-#: Labelled documents of each language that training uses at most, and languages.
-PER_LANG, MAX_LANGS = 1200, 400
+#: Labelled documents of each language that training uses at most, and bytes of a text that reaches the driver.
+PER_LANG, WHOLE = 1200, 1 << 15
+#: Bytes of text in a window, and logits that are gathered at a time.
+WINDOW, GATHER = 1 << 19, 1 << 22
 GRAMS = (2, 3, 4, 5)
 REJECT = 0.001
 
@@ -58,12 +62,21 @@ def grams(raw: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def counts(raw: np.ndarray) -> np.ndarray:
+    """How often each bucket occurs in a text, read in windows."""
+    total, reach = np.zeros(BUCKETS, np.int64), max(GRAMS)
+    for lo in range(0, len(raw), WINDOW):
+        n = min(WINDOW, len(raw) - lo)
+        for at in grams(raw[lo : lo + n + reach]):
+            total += np.bincount(at[:n][at[:n] >= 0], minlength=BUCKETS)
+    return total
+
+
 def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The distinct buckets of a text and their shares."""
-    at = np.concatenate(grams(np.frombuffer(text, np.uint8)))
-    counts = np.bincount(at[at >= 0], minlength=1)
-    used = np.flatnonzero(counts)
-    return used, (counts[used] / max(1, counts.sum())).astype(np.float32)
+    number = counts(np.frombuffer(text, np.uint8))
+    used = np.flatnonzero(number)
+    return used, (number[used] / max(1, number.sum())).astype(np.float32)
 
 
 class Model:
@@ -74,16 +87,24 @@ class Model:
 
     def logits(self, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Logits of each text; the last row of the table, all zero, stands for no n-gram."""
-        n = len(offs) - 1
-        total, counts = np.zeros((n, len(self.langs))), np.zeros(n)
+        n, reach = len(offs) - 1, max(GRAMS)
+        total, found = np.zeros((n, len(self.langs))), np.zeros(n)
         # a border after each text, so that no n-gram reaches into the next one
         raw, offs = np.insert(raw, offs[1:], 10), offs + np.arange(n + 1)
-        if n:
-            for at in grams(raw):
-                at[offs[1:] - 1] = -1
-                total += np.add.reduceat(self.table[at], offs[:-1], axis=0)
-                counts += np.add.reduceat((at >= 0).astype(np.int64), offs[:-1])
-        return total / np.maximum(counts, 1)[:, None] + self.bias
+        step = max(1024, min(WINDOW, GATHER // len(self.langs)))
+        for lo in range(0, len(raw), step):
+            hi = min(lo + step, len(raw))
+            first, last = int(np.searchsorted(offs, lo, "right")) - 1, int(np.searchsorted(offs, hi, "left"))
+            starts = np.maximum(offs[first:last], lo) - lo  # of the texts in this window
+            for at in grams(raw[lo : hi + reach]):
+                at = at[: hi - lo]
+                at[offs[first + 1 : last + 1][offs[first + 1 : last + 1] <= hi] - 1 - lo] = -1
+                total[first:last] += np.add.reduceat(self.table[at], starts, axis=0)
+                found[first:last] += np.add.reduceat((at >= 0).astype(np.int64), starts)
+        return total / np.maximum(found, 1)[:, None] + self.bias
+
+    def of_bag(self, used: np.ndarray, share: np.ndarray) -> np.ndarray:
+        return share @ self.table[used] + self.bias
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         z = logits / self.temperature
@@ -91,23 +112,26 @@ class Model:
         return z / z.sum(axis=1, keepdims=True)
 
 
-def train(rows: list[tuple[int, str, str]], reject: float = REJECT, epochs: int = 6, rate: float = 0.5, seed: int = 7) -> Model | None:
-    """rows: (doc_id, text, lang)."""
-    rows = sorted((r for r in rows if r[1] and any(c.isalpha() for c in r[1])), key=lambda r: (r[0], r[1], r[2]))
+def train(rows: list[tuple], reject: float = REJECT, epochs: int = 6, rate: float = 0.5, seed: int = 7) -> Model | None:
+    """rows: (doc_id, text, lang), or (doc_id, a piece of a long text, lang, the whole text's bag)."""
+    rows = sorted((r for r in rows if r[1] and (len(r) > 3 or any(c.isalpha() for c in r[1]))), key=lambda r: (r[0], r[1], r[2]))
     langs = sorted({r[2] for r in rows})
     if not langs:
         return None
     rng = np.random.default_rng(seed)
     number = {x: i for i, x in enumerate(langs)}
-    kept_back = [r for i, r in enumerate(rows) if i % 10 == 9]
-    pieces = []
-    for i, (_, text, lang) in enumerate(rows):
-        if i % 10 == 9 and len(rows) >= 50:
-            continue
+    held = len(rows) >= 50
+    kept_back, pieces = [], []
+    for i, (_, text, lang, *whole) in enumerate(rows):
         data = text.encode("utf-8", "replace")
-        pieces.append((*bag(data), number[lang]))
-        if len(data) > 200:  # a short piece too, since short texts come as well
-            at = int(rng.integers(0, len(data) - 100))
+        own = whole[0] if whole else bag(data)
+        if i % 10 == 9 or not held:
+            kept_back.append((own, number[lang]))
+        if i % 10 == 9 and held:
+            continue
+        pieces.append((*own, number[lang]))
+        if whole or len(data) > 200:  # a short piece too, since short texts come as well
+            at = int(rng.integers(0, max(1, len(data) - 100)))
             pieces.append((*bag(data[at : at + 100]), number[lang]))
     embed = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     linear, bias = np.zeros((DIM, len(langs)), np.float32), np.zeros(len(langs), np.float32)
@@ -131,16 +155,11 @@ def train(rows: list[tuple[int, str, str]], reject: float = REJECT, epochs: int
             embed[used] -= (now * 4 * len(used) ** 0.5) * share[:, None] * back
     table = np.concatenate((embed @ linear, np.zeros((1, len(langs)), np.float32)))
     model = Model(langs, table, bias, 1.0, 0.0)
-    back = kept_back if len(rows) >= 50 else rows
-    logits, truth = [], []
-    for _, text, lang in back:
-        data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-        logits.append(model.logits(data, np.array([0, len(data)]))[0])
-        truth.append(number[lang])
-    z, y = np.array(logits), np.array(truth)
+    z, y = np.array([model.of_bag(*own) for own, _ in kept_back]), np.array([k for _, k in kept_back])
     best = min(np.geomspace(0.05, 20, 60), key=lambda t: -_log_likelihood(z / t, y))
     model.temperature = float(best)
-    sure = model.probabilities(z)[np.arange(len(y)), z.argmax(axis=1)]
+    right = z.argmax(axis=1) == y
+    sure = model.probabilities(z).max(axis=1)[right] if right.any() else np.zeros(1)
     model.threshold = float(min(0.5, np.quantile(sure, reject, method="lower")))
     return model
 
@@ -154,16 +173,31 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, per_lang: int = PER_
     """Trains on documents with a language that aren't held out, on `per_lang` of each language at most."""
     known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     known = known.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(fold(F.col("doc_id"), folds) != held_out)
-    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    if not langs:
+    each = known.groupBy("lang").count()
+    n = each.count()
+    if not n:
         return None
-    share = known.groupBy("lang").count().select("lang", F.least(F.lit(1.0), F.lit(per_lang * 1.0) / F.col("count")).alias("share"))
-    picked = known.where(F.col("lang").isin(langs)).join(F.broadcast(share.where(F.col("lang").isin(langs))), "lang")
-    picked = picked.where(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("doc_id", "lang")
-    picked = bounded(picked.distinct(), "doc_id", per_lang * len(langs))
+    share = each.select("lang", F.least(F.lit(1.0), F.lit(per_lang * 1.0) / F.col("count")).alias("share"))
+    picked = known.join(share, "lang").where(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("doc_id", "lang")
+    picked = bounded(picked.distinct(), "doc_id", per_lang * n)
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    rows = text.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "lang")
-    return train([(r["doc_id"], r["text"], r["lang"]) for r in rows.toLocalIterator()])
+
+    def shorten(batches):
+        """Long texts as their bags, with a piece from the middle."""
+        for batch in batches:
+            texts, used, shares = [], [], []
+            for t in batch.column(1).to_pylist():
+                data = t.encode("utf-8", "replace")
+                long = len(data) > WHOLE
+                own = bag(data) if long else (None, None)
+                texts.append(data[len(data) // 2 : len(data) // 2 + 100].decode("utf-8", "replace") if long else t)
+                used.append(own[0].astype(np.uint16).tobytes() if long else None)
+                shares.append(own[1].tobytes() if long else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), batch.column(2), pa.array(used, pa.binary()), pa.array(shares, pa.binary())], names=["doc_id", "text", "lang", "used", "share"])
+
+    rows = text.join(picked, "doc_id").select("doc_id", "text", "lang").mapInArrow(shorten, "doc_id bigint, text string, lang string, used binary, share binary")
+    whole = lambda r: [] if r["used"] is None else [(np.frombuffer(r["used"], np.uint16).astype(np.int64), np.frombuffer(r["share"], np.float32))]
+    return train([(r["doc_id"], r["text"], r["lang"], *whole(r)) for r in rows.toLocalIterator()])
 
 
 def detect(docs: DataFrame, model: Model | None) -> DataFrame:
