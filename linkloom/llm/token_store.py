@@ -13,7 +13,7 @@ An Elias-Fano list is: n u64, universe u64, low bits per value u8, low bits pack
 the position of every 128th set bit as u32, from which select(i) looks at a few bytes.
 
 Defined results: null texts are empty, so their document is the end id alone; documents with a null doc_id come first;
-rows with one doc_id are ordered by text; an empty table gives an empty store; other columns are not stored.
+rows with one doc_id are ordered by the beginning of the text, then by a hash; an empty table gives an empty store; other columns are not stored.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from .storage import Workspace
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
+#: Characters by which rows with one doc_id are ordered.
+HEAD = 16
 #: before: the ids of the same part in earlier blocks.
 BLOCK_SCHEMA = "part int, seq int, n_docs bigint, before bigint, n_ids bigint, payload binary"
 _SAMPLE = 128
@@ -199,35 +201,44 @@ def _encoder(spec: str, pieces: bool) -> Encoder:
     return _encoders[key]
 
 
-def _block_writer(shared, end_id: int, width: int, pieces: bool, block_ids: int):
+def _encode(shared, end_id: int, width: int, pieces: bool):
+    """(doc_id, head, tie, text) -> (doc_id, head, tie, ids: the text's ids with the end id, `width` bytes each)."""
+
+    def encode(batches):
+        encoder, end = _encoder(shared.value, pieces), np.array([end_id], f"<u{width}").tobytes()
+        for batch in batches:
+            raw, offs = string_parts(batch.column(3))
+            for lo, hi in slices(offs):
+                ids = [own.astype(f"<u{width}").tobytes() + end for own in encoder.encode(raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(3)), pa.array(ids, pa.binary())], names=["doc_id", "head", "tie", "ids"])
+
+    return encode
+
+
+def _block_writer(width: int, block_ids: int):
     def write(batches):
         from pyspark import TaskContext
 
-        encoder = _encoder(shared.value, pieces)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         docs: list[int | None] = []
         held: list[np.ndarray] = []
-        size, end = 0, np.array([end_id], np.uint32)
+        size = 0
 
         def block():
-            counts = np.array([len(held[i]) + 1 for i in range(len(held))], np.int64)
-            flat = np.concatenate([x for h in held for x in (h, end)])
+            counts, flat = np.array([len(x) for x in held], np.int64), np.concatenate(held)
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_docs": pa.array([len(docs)], pa.int64()),
                 "before": pa.array([before], pa.int64()), "n_ids": pa.array([len(flat)], pa.int64()), "payload": pa.array([pack_block(docs, counts, flat, width)], pa.binary()),
             })
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            raw, offs = string_parts(batch.column(1))
-            for lo, hi in slices(offs):
-                for i, own in enumerate(encoder.encode(raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])):
-                    docs.append(ids[lo + i])
-                    held.append(own)
-                    size += len(own) + 1
-                    if size >= block_ids:
-                        yield block()
-                        docs, held, size, seq, before = [], [], 0, seq + 1, before + size
+            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+                docs.append(doc_id)
+                held.append(np.frombuffer(ids.as_py(), f"<u{width}").astype(np.uint32))
+                size += len(held[-1])
+                if size >= block_ids:
+                    yield block()
+                    docs, held, size, seq, before = [], [], 0, seq + 1, before + size
         if docs:
             yield block()
 
@@ -237,17 +248,23 @@ def _block_writer(shared, end_id: int, width: int, pieces: bool, block_ids: int)
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, pieces: bool = True, block_ids: int = BLOCK_IDS) -> None:
     """Encodes docs (doc_id, text) in ascending doc_id order into a store at `path`, by the tokenizer file `tokenizer`.
 
-    pieces: the tokenizer drops white space (see Encoder); with False every text is encoded whole.
+    Texts are encoded where they are read, and only their ids are written to a table and shuffled into order.  Rows that
+    share a doc_id are ordered by their first `HEAD` characters, then by a hash.  pieces: the tokenizer drops white space
+    (see Encoder); with False every text is encoded whole.
     """
     from tokenizers import Tokenizer
 
     with open(tokenizer, encoding="utf-8") as f:
         spec = f.read()
     width = 2 if max(Tokenizer.from_str(spec).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-    shared = docs.sparkSession.sparkContext.broadcast(spec)
+    space, shared = Workspace(docs.sparkSession, "encoded"), docs.sparkSession.sparkContext.broadcast(spec)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    rows.mapInArrow(_block_writer(shared, end_id, width, pieces, block_ids), BLOCK_SCHEMA).write.mode("overwrite").parquet(path)
+    rows = rows.select("doc_id", F.substring("text", 1, HEAD).alias("head"), F.xxhash64("text").alias("tie"), "text")
+    rows = space.save(rows.mapInArrow(_encode(shared, end_id, width, pieces), "doc_id bigint, head string, tie bigint, ids binary"), "ids")
+    order = [F.col("doc_id").asc_nulls_first(), "head", "tie"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+    rows.mapInArrow(_block_writer(width, block_ids), BLOCK_SCHEMA).write.mode("overwrite").parquet(path)
+    space.clear()
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
