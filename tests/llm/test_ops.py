@@ -317,13 +317,28 @@ def test_chat_repair(spark):
         out = chat.repair(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"), chunk=chunk).toPandas()
         assert len(out) == len(rows)
         for i, roles in convs.items():
-            own = out[out.conv_id == i].sort_values("turn")
+            own = out[out.conv_id == i].sort_values("pos")
+            assert own.pos.tolist() == own.turn.tolist() == list(range(len(roles)))
             whole = "".join(own.fragment)
             heads = re.findall(r"<\|im_start\|>(\w+)\n", whole)
             assert _legal([chat.ROLES.index(h) + 1 for h in heads]) and whole.count("<|im_end|>") == len(heads) and whole.endswith("<|im_end|>\n")
             assert set(own.conv_cost) == {_cheapest([chat.role_code(r) for r in roles])}
 
 
+def test_chat_repair_of_one_hot_conversation_without_numbers(spark):
+    rows = [(None, None, ["user", "assistant", None][i % 3], f"text {i % 50}") for i in range(3000)] + [(7, 1, "user", "same")] * 40 + [(8, None, None, None)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3).withColumn("pos", F.lit("clash"))
+    out = chat.repair(table, chunk=64).toPandas()
+    assert len(out) == len(rows)
+    for conv, n in ((None, 3000), (7, 40), (8, 1)):
+        own = out[out.conv_id.isna() if conv is None else out.conv_id == conv].sort_values("pos")
+        assert own.pos.tolist() == list(range(n)) and own.role.fillna("").tolist() == sorted(own.role.fillna(""))
+        whole = "".join(own.fragment)
+        assert _legal([chat.ROLES.index(h) + 1 for h in re.findall(r"<\|im_start\|>(\w+)\n", whole)]) and whole.endswith("<|im_end|>\n")
+        assert set(own.conv_cost) == {_cheapest([chat.role_code(r) for r in own.role.fillna("")])}
+    assert chat.repair(table.where("false")).count() == 0
+
+
 def test_pii_surrogates(spark):
     said = ["Mail a.55@mail4.example.com or A.55@mail4.example.com, call +1 (017) 555-7713.", "card 4111 1111 1111 1111, not 4111111111111112, ip 97.51.17.173.", "Mr John Smith met Mrs Müller; Mr Smith left.", 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" SSN 123-45-6789 IBAN DE89 3704 0044 0532 0130 00', None, "", "nothing here v1.2.3.4.5", "again 97.51.17.173!!", "odd \u0001\u0002\u0001 97.51.17.173 end"]
     got = [r for r in pii.pseudonymise(_docs(spark, said, m="x", r="y")).orderBy("doc_id").collect()]
