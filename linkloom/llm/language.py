@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .kernels import slices, string_parts
-from .sampling import bounded, fold
+from .sampling import fold
 from .storage import small_batches
 
 BUCKETS = 1 << 15
@@ -29,6 +30,8 @@ DIM = 16
 PER_LANG, WHOLE = 1200, 1 << 15
 #: Bytes of text in a window, and logits that are gathered at a time.
 WINDOW, GATHER = 1 << 19, 1 << 22
+#: Up to so many languages their table (a name and a share each) is broadcast.
+BROADCAST_LANGS = 200_000
 GRAMS = (2, 3, 4, 5)
 REJECT = 0.001
 
@@ -177,10 +180,12 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, per_lang: int = PER_
     n = each.count()
     if not n:
         return None
-    share = each.select("lang", F.least(F.lit(1.0), F.lit(per_lang * 1.0) / F.col("count")).alias("share"))
-    picked = known.join(share, "lang").where(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("doc_id", "lang")
-    picked = bounded(picked.distinct(), "doc_id", per_lang * n)
-    text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    # a fifth more than wanted by a hash, in the scan itself; the surplus goes once the texts are short
+    share = each.select("lang", F.least(F.lit(1.0), F.lit(per_lang * 1.2) / F.col("count")).alias("share"))
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    own = own.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(fold(F.col("doc_id"), folds) != held_out)
+    drawn = F.xxhash64(F.lit("language"), "doc_id")
+    picked = own.join(F.broadcast(share) if n <= BROADCAST_LANGS else share, "lang").where(F.pmod(drawn, F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("doc_id", "text", "lang")
 
     def shorten(batches):
         """Long texts as their bags, with a piece from the middle."""
@@ -195,7 +200,8 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, per_lang: int = PER_
                 shares.append(own[1].tobytes() if long else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), batch.column(2), pa.array(used, pa.binary()), pa.array(shares, pa.binary())], names=["doc_id", "text", "lang", "used", "share"])
 
-    rows = text.join(picked, "doc_id").select("doc_id", "text", "lang").mapInArrow(shorten, "doc_id bigint, text string, lang string, used binary, share binary")
+    rows = picked.mapInArrow(shorten, "doc_id bigint, text string, lang string, used binary, share binary")
+    rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(drawn, "doc_id", "text"))).where(F.col("r") <= per_lang)
     whole = lambda r: [] if r["used"] is None else [(np.frombuffer(r["used"], np.uint16).astype(np.int64), np.frombuffer(r["share"], np.float32))]
     return train([(r["doc_id"], r["text"], r["lang"], *whole(r)) for r in rows.toLocalIterator()])
 
