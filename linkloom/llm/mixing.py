@@ -153,16 +153,17 @@ class Spread:
 
 
 def rake(cells: Held | Spread, targets: list[np.ndarray], total: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[list[np.ndarray], float]:
-    """The margins' factors that bring the margins of tokens * product to total * `targets` (which sum to 1), and the error of the last round."""
-    factors = [np.ones(len(t)) for t in targets]
-    worst = np.inf
+    """The margins' factors that bring the margins of tokens * product to total * `targets` (which sum to 1), and the error of the
+    last round.  It ends early where the targets contradict each other: the error stays and the factors would run away."""
+    factors, errors = [np.ones(len(t)) for t in targets], []
     for _ in range(rounds):
         worst = 0.0
         for m, target in enumerate(targets):
             have = cells.sums(m, factors, 1.0, False)[1]
             worst = max(worst, float(np.abs(have / total - target).max()))
             factors[m] = factors[m] * np.divide(target * total, have, out=np.ones_like(target), where=have > 0)
-        if worst < tolerance:
+        errors.append(worst)
+        if worst < tolerance or (worst > MET and len(errors) > PATIENCE and worst > 0.9 * errors[-1 - PATIENCE]):
             break
     return factors, worst
 
