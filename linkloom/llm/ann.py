@@ -299,9 +299,12 @@ def nearest(embeddings: DataFrame, is_query: Column, top: int = TOP) -> DataFram
         found = walked if len(large) == len(sizes) else walked.union(begin.where(~F.col("band").isin(list(large))).select("q", "near"))
     near = found.select("q", F.explode(F.concat(F.array(F.col("q")), F.transform("near", lambda x: x["id"]))).alias("id")).distinct()
     near = near.join(nodes.select("id", "v", "members"), "id")
-    scored = asked.join(near, "q").select("query_id", _dot("qv", "v").alias("score"), F.explode("members").alias("vec_id")).where("vec_id <> query_id")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    # scored once for each vector that asks, however many rows have it; a row drops itself from its vector's list
+    own = asked.groupBy("q").agg(F.first("qv").alias("qv"))
+    rated = near.join(own, "q").select("q", F.explode(F.transform("members", lambda m: F.struct((-_dot("qv", "v")).alias("below"), m.alias("vec_id")))).alias("x"))
+    lists = space.save(rated.groupBy("q").agg(F.slice(F.array_sort(F.collect_list("x")), 1, top + 1).alias("best")), "lists")
+    out = asked.select("query_id", "q").join(lists, "q").select("query_id", F.posexplode(F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, top)).alias("at", "x"))
+    return out.select("query_id", (F.col("at") + 1).alias("rank"), "x.vec_id", (-F.col("x.below")).alias("score"))
 
 
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
