@@ -105,7 +105,8 @@ class Bloom:
             yield pa.RecordBatch.from_pydict({"bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
         total = np.zeros(n_bits // 8, np.uint8)
-        for row in ids.coalesce(16).mapInArrow(fill, "bits binary").toLocalIterator():
+        # an exchange of ids, so that what makes them keeps its own number of tasks
+        for row in ids.repartition(16).mapInArrow(fill, "bits binary").toLocalIterator():
             total |= np.frombuffer(row["bits"], np.uint8)
         return total
 
