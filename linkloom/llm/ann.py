@@ -55,8 +55,28 @@ def _dot(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def _best(lists: Column, k: int) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(lists), asc=False), 1, k)
+def _best(rows: DataFrame, column: str, k: int) -> DataFrame:
+    """rows with the k best of each list in a column of type _LIST, best first, each once; all lists of a batch are sorted together."""
+    at = rows.columns.index(column)
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(at)
+            flat, lens = lists.flatten(), np.diff(lists.offsets.to_numpy())
+            sims, ids = flat.field("sim").to_numpy().astype(np.int64), flat.field("id").to_numpy()
+            owner = np.repeat(np.arange(len(lens)), lens)
+            order = np.lexsort((-ids, -sims, owner))
+            sims, ids, owner = sims[order], ids[order], owner[order]
+            once = np.ones(len(ids), bool)
+            once[1:] = (ids[1:] != ids[:-1]) | (owner[1:] != owner[:-1])  # one node has one similarity, so copies are neighbours
+            sims, ids, owner = sims[once], ids[once], owner[once]
+            first = np.searchsorted(owner, np.arange(len(lens)))
+            good = np.arange(len(ids)) - first[owner] < k
+            ends = np.concatenate(([0], np.cumsum(np.bincount(owner[good], minlength=len(lens)))))
+            kept = pa.StructArray.from_arrays([pa.array(sims[good].astype(np.int32)), pa.array(ids[good])], names=["sim", "id"])
+            yield batch.set_column(at, column, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), kept))
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def _codes(nodes: DataFrame) -> DataFrame:
@@ -135,7 +155,8 @@ def first_graph(codes: DataFrame, sizes: dict[int, int], k: int, space: Workspac
         return pa.table({"id": pa.array(ids, pa.int64()), "nbrs": pa.array(out, pa.list_(pa.struct([("sim", pa.int32()), ("id", pa.int64())])))})
 
     found = placed.groupBy("band", "tree", "leaf", "part").applyInArrow(block, f"id bigint, nbrs {_LIST}")
-    return space.save(found.groupBy("id").agg(_best(F.flatten(F.collect_list("nbrs")), k).alias("nbrs")).withColumn("old", F.array().cast("array<bigint>")), "graph0")
+    merged = found.groupBy("id").agg(F.flatten(F.collect_list("nbrs")).alias("nbrs"))
+    return space.save(_best(merged, "nbrs", k).withColumn("old", F.array().cast("array<bigint>")), "graph0")
 
 
 def _meet(codes: DataFrame, graph: DataFrame, step: int) -> DataFrame:
@@ -198,7 +219,8 @@ def neighbour_graph(codes: DataFrame, sizes: dict[int, int], space: Workspace, k
         graph = graph.withColumn("fresh", sample(F.array_except(ids, "old"))).withColumn("known", sample(F.array_intersect(ids, "old")))
         graph = space.save(graph.withColumn("old", F.array_union("old", "fresh")), f"sample{step}")
         found = _meet(codes, graph, step).select("id", "nbrs", F.lit(None).cast("array<bigint>").alias("old"))
-        merged = graph.select("id", "nbrs", "old").union(found).groupBy("id").agg(_best(F.flatten(F.collect_list("nbrs")), k).alias("nbrs"), F.first("old", ignorenulls=True).alias("old"))
+        merged = graph.select("id", "nbrs", "old").union(found).groupBy("id").agg(F.flatten(F.collect_list("nbrs")).alias("nbrs"), F.first("old", ignorenulls=True).alias("old"))
+        merged = _best(merged, "nbrs", k)
         ids = F.transform("nbrs", lambda x: x["id"])
         graph = space.save(merged.select("id", "nbrs", F.array_intersect("old", ids).alias("old")), f"graph{step}")
         fresh = graph.agg(F.sum(F.size("nbrs") - F.size("old"))).first()[0] or 0
@@ -260,8 +282,8 @@ def search(begin: DataFrame, codes: DataFrame, graph: DataFrame, space: Workspac
         scored = new.join(own, "q").join(codes, "id").select("q", "band", "id", "q_code", "code").mapInArrow(product, "q bigint, band int, id bigint, sim int")
         worst = F.coalesce(F.when(F.size("near") >= beam, F.element_at("near", -1)["sim"]), F.lit(-(1 << 31)))
         better = scored.join(state.select("q", "band", worst.alias("worst")), ["q", "band"]).where("sim > worst").groupBy("q", "band").agg(F.collect_list(F.struct("sim", "id")).alias("more"))
-        nxt = state.join(better, ["q", "band"], "left").select("q", "band", _best(F.concat("near", F.coalesce("more", F.array().cast(_LIST))), beam).alias("near"), F.concat("done", "go").alias("done"))
-        state = space.save(nxt, f"search{step}")
+        nxt = state.join(better, ["q", "band"], "left").select("q", "band", F.concat("near", F.coalesce("more", F.array().cast(_LIST))).alias("near"), F.concat("done", "go").alias("done"))
+        state = space.save(_best(nxt, "near", beam), f"search{step}")
         space.drop(f"chosen{step}", f"search{step - 1}")
         space.release()
     return state.select("q", "near")
