@@ -228,7 +228,7 @@ def test_wat_round_trip(spark):
     assert rows and all(r.linkdomain and r.imported.startswith("2021-01-1") and r.noindex == 0 for r in rows)
 
 
-@pytest.mark.parametrize("name", ["external_links", "link_join_page", "link_last_wins"])
+@pytest.mark.parametrize("name", ["external_links", "link_join_page", "link_last_wins", "page_last_wins"])
 def test_links_of_pages_are_not_sought_among_all_pairs_of_pages(spark, name):
     plan = core.QUERY[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
