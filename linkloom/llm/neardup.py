@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .kernels import SPACE_WORDS, Words, mix, shingle_sets, signed, slices, stream, string_parts
-from .storage import Workspace
+from .storage import Workspace, lean
 
 BANDS, ROWS = 30, 5
 #: Buckets up to this size are compared in all pairs, in the second round.
@@ -84,7 +84,7 @@ def signatures(docs: DataFrame, size: int, minmax: MinMax) -> DataFrame:
             })
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(sign, "doc_id bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>")
+    return rows.mapInArrow(lean(sign), "doc_id bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>")
 
 
 class Bloom:
@@ -106,7 +106,7 @@ class Bloom:
 
         total = np.zeros(n_bits // 8, np.uint8)
         # an exchange of ids, so that what makes them keeps its own number of tasks
-        for row in ids.repartition(16).mapInArrow(fill, "bits binary").toLocalIterator():
+        for row in ids.repartition(16).mapInArrow(lean(fill), "bits binary").toLocalIterator():
             total |= np.frombuffer(row["bits"], np.uint8)
         return total
 
@@ -134,7 +134,7 @@ def _only(rows: DataFrame, bloom: Bloom) -> DataFrame:
             if chosen.num_rows:
                 yield chosen
 
-    return rows.mapInArrow(take, rows.schema)
+    return rows.mapInArrow(lean(take), rows.schema)
 
 
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 if chosen.num_rows:
                     yield chosen
 
-        return docs.mapInArrow(take, docs.schema)
+        return docs.mapInArrow(lean(take), docs.schema)
 
     joined = part(True).join(ids.select(F.col(ids.columns[0]).alias("doc_id")), "doc_id", "left_anti")
     return part(False).union(joined.select(*docs.columns))
@@ -169,7 +169,7 @@ def _shared_bands(reps: DataFrame, bloom: Bloom) -> DataFrame:
             if len(owner):
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(owner), batch.column(1).take(owner), key.filter(held)], names=["id", "n", "key"])
 
-    return reps.select("id", "n", "keys").mapInArrow(pick, "id bigint, n bigint, key bigint")
+    return reps.select("id", "n", "keys").mapInArrow(lean(pick), "id bigint, n bigint, key bigint")
 
 
 def candidate_sets(docs: DataFrame, ids: DataFrame, size: int, space: Workspace, name: str) -> DataFrame:
@@ -187,7 +187,7 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, size: int, space: Workspace,
                 yield pa.RecordBatch.from_pydict({"id": chosen.column(0), "shingles": pa.array(sets, pa.list_(pa.int64()))})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return space.save(rows.mapInArrow(take, "id bigint, shingles array<bigint>"), name)
+    return space.save(rows.mapInArrow(lean(take), "id bigint, shingles array<bigint>"), name)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -267,7 +267,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     hub = bucket.join(central, "id").groupBy("key").agg(F.max_by(F.struct("id", "n", "central"), F.struct("central", -F.col("id"))).alias("hub"))
     met = bucket.join(hub, "key").select(F.col("hub.id").alias("hub"), "id", F.col("hub.n").alias("na"), F.col("n").alias("nb"), "hub.central")
     met = space.save(met.where((F.col("hub") != F.col("id")) & _sizes_fit(percent)).groupBy("hub", "id").agg(F.max("central").alias("central")), "met")
-    space.release()
+    space.release(executors=True)
     sets = candidate_sets(docs, bucket.select("id").distinct(), size, space, "sets")
     same_id = known.groupBy("doc_id").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo <> hi").select(F.col("doc_id").alias("id"))
 
@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     once = met.groupBy("id").agg(F.max_by("hub", F.struct("central", -F.col("hub"))).alias("hub"))
     once = space.save(once.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "pairs1")
     links = space.save(_confirmed(once, sets, percent), "links1")
-    space.release()
+    space.release(executors=True)
     part = connected_components(links, space, "cc1")
     others = met.join(part.select(F.col("id"), F.col("comp").alias("ci")), "id", "left").join(part.select(F.col("id").alias("hub"), F.col("comp").alias("ch")), "hub", "left")
     others = others.where(F.coalesce("ci", "id") != F.coalesce("ch", "hub")).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
@@ -283,7 +283,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     links = links.union(space.save(_confirmed(others, sets, percent), "links2"))
     pairs = once.union(others)
     space.drop("met")
-    space.release()
+    space.release(executors=True)
 
     def labelled(step: str):
         found = connected_components(links, space, step)
@@ -300,7 +300,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     two = space.save(two, "pairs3")
     links = links.union(space.save(_confirmed(two, sets, percent), "links3"))
 
-    space.release()
+    space.release(executors=True)
     unsolved = left.where(F.col("c") > small)
     if unsolved.limit(1).count():
         now = space.save(labelled("cc3").where(F.col("c") > small), "labels2")
@@ -312,7 +312,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     # one id for all that share a set or a doc_id
     found = connected_components(links, space, "cc")
     space.drop("buckets", "sets", "open")
-    space.release()
+    space.release(executors=True)
     by_set = reps.select("s1", "s2", "n", "id").join(found, "id", "left").select("s1", "s2", "n", F.coalesce("comp", "id").alias("comp"))
     out = signed_docs.select("doc_id", "n", "s1", "s2").join(by_set, ["s1", "s2", "n"], "left")
     out = out.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("comp"))
