@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .storage import Workspace
 
+#: Rounds after which the driver gives back what their plans left in its memory.
+ROUNDS = 4
+
 
 def connected_components(edges: DataFrame, space: Workspace, tag: str) -> DataFrame:
     """edges (a, b) -> (id, comp) for every end of an edge, comp being the smallest id that can be reached.
@@ -28,5 +31,7 @@ def connected_components(edges: DataFrame, space: Workspace, tag: str) -> DataFr
         changed = grown.where("comp <> old").limit(1).count()
         space.drop(f"{tag}-{step - 1}")
         labels = grown.select("id", "comp")
+        if not changed or step % ROUNDS == 0:
+            space.release()
         if not changed:
             return labels

@@ -53,3 +53,53 @@ def test_executors_give_memory_back(tmp_path):
     assert after < 0.8 * before
     plain, given_back = [int(words[1]) for words in said if words[0] == "python"]
     assert given_back < plain - 100
+
+
+DRIVER = """
+import os
+import numpy as np
+import psutil
+from pyspark.sql import SparkSession
+from linkloom.llm.components import connected_components
+from linkloom.llm.storage import Workspace
+
+spark = SparkSession.builder.master("local[2]").config(map={"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}).getOrCreate()
+jvm = next(p for p in psutil.Process().children(recursive=True) if "java" in p.name())
+space = Workspace(spark, "test")
+
+
+def held():
+    return [p.memory_info().rss >> 20 for p in (psutil.Process(), jvm)]
+
+
+# the last of each stays, so that the heap's end can't just be cut
+rows = [np.ones(100) for _ in range(300_000)]
+kept = np.ones(100)
+native = spark._jvm.org.apache.spark.unsafe.Platform
+blocks = [native.allocateMemory(60_000) for _ in range(4_000)]
+for block in blocks:
+    native.setMemory(block, 1, 60_000)
+del rows
+for block in blocks[:-1]:
+    native.freeMemory(block)
+print("before", *held())
+space.release()
+print("after", *held())
+
+calls = []
+space.release = lambda *given: calls.append(given)
+found = connected_components(spark.createDataFrame([(i, i + 1) for i in range(300)], "a bigint, b bigint"), space, "chain")
+print("chain", found.where("comp = 0").count(), len(calls))
+spark.stop()
+"""
+
+
+def test_driver_gives_memory_back(tmp_path):
+    env = os.environ | {"PYTHONPATH": f"{REPO}:{os.environ.get('PYTHONPATH', '')}", "PYSPARK_PYTHON": sys.executable, "SPARK_LOCAL_IP": "127.0.0.1"}
+    got = subprocess.run([sys.executable, "-c", DRIVER], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=200)
+    assert got.returncode == 0, got.stderr[-2000:]
+    said = {words[0]: [int(x) for x in words[1:]] for words in map(str.split, got.stdout.splitlines())}
+    assert all(after < before - 150 for before, after in zip(said["before"], said["after"])), said
+    vertices, releases = said["chain"]
+    assert vertices == 301
+    assert releases >= 2
